@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import loyalty
+from tallyspark.plans import balances, loyalty
 from tallyspark.sources.adapters import with_views
 from tallyspark.sources.tables import Tables
 
-MODULES = [loyalty]
+MODULES = [loyalty, balances]
 
 
 def _bind(fn):
