@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import balances, loyalty, retail
+from tallyspark.plans import balances, loyalty, retail, web
 from tallyspark.sources.adapters import with_views
 from tallyspark.sources.tables import Tables
 
-MODULES = [loyalty, balances, retail]
+MODULES = [loyalty, balances, retail, web]
 
 
 def _bind(fn):
