@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import balances, loyalty, retail, subscriptions, web
+from tallyspark.plans import balances, loyalty, orders, retail, subscriptions, web
 from tallyspark.sources.adapters import with_views
 from tallyspark.sources.tables import Tables
 
-MODULES = [loyalty, subscriptions, balances, retail, web]
+MODULES = [loyalty, orders, subscriptions, balances, retail, web]
 
 
 def _bind(fn):

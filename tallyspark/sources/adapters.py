@@ -298,3 +298,37 @@ def with_views(query: str) -> str:
     if q[:4].upper() == "WITH":
         return f"WITH {ctes},\n{q[4:]}"
     return f"WITH {ctes}\n{q}"
+
+
+# ---------------------------------------------------------------- D2 ratings batch
+def pizza_ratings_incoming(t: Tables, delivered_keys: DataFrame) -> DataFrame:
+    """A ratings batch for the delivered orders: rating ``order_id % 7`` (0 and 6 break the
+    1..5 rule), plus, for urgent orders, a second row naming the wrong customer."""
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_orderkey").alias("order_id"))
+    good = delivered_keys.select("order_id", "runner_id", "customer_id", (F.col("order_id") % 7).alias("rating"))
+    wrong = delivered_keys.join(urgent, "order_id", "left_semi").select(
+        "order_id", "runner_id", (F.col("customer_id") + 1).alias("customer_id"), F.lit(5).cast("bigint").alias("rating"))
+    return good.unionByName(wrong)
+
+
+SQL.update({
+    "pizza_orders_clean": """SELECT row_key AS id, order_id, customer_id, pizza_id,
+        CASE WHEN exclusions IN ('null', '') THEN NULL ELSE exclusions END AS exclusions,
+        CASE WHEN extras IN ('null', '') THEN NULL ELSE extras END AS extras, order_time
+        FROM pizza_customer_orders""",
+    "pizza_deliveries_clean": """SELECT order_id, runner_id,
+        CAST(CASE WHEN pickup_time IN ('null', '') THEN NULL ELSE pickup_time END AS TIMESTAMP) AS pickup_time,
+        CAST(nullif(regexp_extract(CASE WHEN distance IN ('null', '') THEN NULL ELSE distance END,
+                                   '^\\s*([0-9]+(\\.[0-9]+)?)', 1), '') AS DECIMAL(8,1)) AS distance,
+        CAST(nullif(regexp_extract(CASE WHEN duration IN ('null', '') THEN NULL ELSE duration END,
+                                   '^\\s*([0-9]+)', 1), '') AS BIGINT) AS duration,
+        CASE WHEN cancellation IN ('null', '') THEN NULL ELSE cancellation END AS cancellation
+        FROM pizza_runner_orders""",
+    "pizza_delivered_keys": """SELECT DISTINCT d.order_id, d.runner_id, o.customer_id
+        FROM pizza_deliveries_clean d JOIN pizza_orders_clean o ON o.order_id = d.order_id
+        WHERE d.cancellation IS NULL""",
+    "pizza_ratings_incoming": """SELECT order_id, runner_id, customer_id, order_id % 7 AS rating FROM pizza_delivered_keys
+        UNION ALL
+        SELECT k.order_id, k.runner_id, k.customer_id + 1 AS customer_id, CAST(5 AS BIGINT) AS rating
+        FROM pizza_delivered_keys k WHERE k.order_id IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+})
