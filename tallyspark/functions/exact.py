@@ -41,12 +41,11 @@ def ratio(num, den, scale: int = 2, mult: int = 1) -> Column:
 def ratio_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
     """DuckDB text of :func:`ratio`."""
     n = f"(CAST({num} AS HUGEINT) * {mult * 10**scale})"
-    q = f"CAST({den} AS HUGEINT)"
+    q = f"CAST(NULLIF({den}, 0) AS HUGEINT)"
     whole = f"((2 * abs({n}) + abs({q})) // (2 * abs({q})))"
     signed = f"(CASE WHEN ({n} < 0) <> ({q} < 0) AND {n} <> 0 THEN -{whole} ELSE {whole} END)"
     unit = f"{Decimal(1).scaleb(-scale)}" if scale > 0 else "1"
-    return (f"(CASE WHEN {q} <> 0 THEN CAST(CAST({signed} AS DECIMAL(30,0)) * {unit} "
-            f"AS DECIMAL({OUT_PRECISION},{scale})) END)")
+    return f"CAST(CAST({signed} AS DECIMAL(30,0)) * {unit} AS DECIMAL({OUT_PRECISION},{scale}))"
 
 
 def int_div(num, den) -> Column:
@@ -61,7 +60,7 @@ def int_div(num, den) -> Column:
 
 
 def int_div_sql(num: str, den: str) -> str:
-    return f"(CASE WHEN ({den}) <> 0 THEN CAST(CAST({num} AS HUGEINT) // CAST({den} AS HUGEINT) AS BIGINT) END)"
+    return f"CAST(CAST({num} AS HUGEINT) // CAST(NULLIF({den}, 0) AS HUGEINT) AS BIGINT)"
 
 
 def decimal_round(x, scale: int) -> Column:

@@ -59,7 +59,11 @@ def _csv(*parts):
 
 def pizza_customer_orders(t: Tables) -> DataFrame:
     """One row per pizza (lineitem); lists packed in text, with '', 'null' and NULL mixed in."""
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    # Lines sharing these four keys give identical pizza rows (copies); number the copies
+    # so every row has its own id. Counting first lets partial aggregation fold copies.
+    copies = t.lineitem.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    li = copies.select(*keys, F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("copy"))
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     pk, sk, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
@@ -71,7 +75,7 @@ def pizza_customer_orders(t: Tables) -> DataFrame:
     extras = (F.when(sk % 7 == 1, F.lit("null")).when(sk % 7 == 2, F.lit(""))
               .when(sk % 7 == 4, extra_a.cast("string")).when(sk % 7 == 5, _csv(extra_a, extra_b)))
     return j.select(
-        _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_key"),
+        _key(*keys, "copy").alias("row_key"),
         F.col("l_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         (pk % 2 + 1).alias("pizza_id"),
@@ -218,7 +222,8 @@ SQL: dict[str, str] = {
         FROM customer WHERE c_acctbal >= 0""",
     "pizza_customer_orders": """SELECT
         CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) || '-' ||
-        CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR) AS row_key,
+        CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR) || '-' ||
+        CAST(row_number() OVER (PARTITION BY l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey) AS VARCHAR) AS row_key,
         l.l_orderkey AS order_id, o.o_custkey AS customer_id, l.l_partkey % 2 + 1 AS pizza_id,
         CASE l.l_partkey % 7 WHEN 1 THEN '' WHEN 2 THEN 'null'
              WHEN 4 THEN CAST(l.l_suppkey % 12 + 1 AS VARCHAR)
