@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import int_div
+from tallyspark.operators.sequence import neighbours
 from tallyspark.sources import dims
 from tallyspark.sources.tables import Tables
 
@@ -136,19 +137,18 @@ def foodie_subscriptions(t: Tables) -> DataFrame:
 def bank_nodes(t: Tables) -> DataFrame:
     """Each order re-allocates its customer to node ``orderkey % 5 + 1``, valid until the
     day before the customer's next order; the last allocation is open (9999-12-31)."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    o = t.orders.select("o_orderkey", "o_custkey", _date("o_orderdate").alias("start_date"))
+    o = neighbours(o, ["o_custkey"], ["start_date", "o_orderkey"], ["start_date"], ["start_date"], prev=False)
     c = t.customer.select("c_custkey", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    nxt = F.lead(_date("o_orderdate")).over(w)
-    start = _date("o_orderdate")
     j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    start = F.col("start_date")
     return j.select(
         F.col("o_custkey").alias("customer_id"),
         (F.col("n_regionkey") + 1).cast("bigint").alias("region_id"),
         (F.col("o_orderkey") % 5 + 1).alias("node_id"),
         start.alias("start_date"),
-        F.coalesce(F.greatest(F.date_sub(nxt, 1), start), F.lit(OPEN_END).cast("date")).alias("end_date"),
+        F.coalesce(F.greatest(F.date_sub("next_start_date", 1), start), F.lit(OPEN_END).cast("date")).alias("end_date"),
     )
 
 
@@ -179,7 +179,7 @@ def mart_weekly_sales(t: Tables) -> DataFrame:
     segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null")).otherwise(
         F.concat(F.when(ck % 2 == 0, "C").otherwise("F"), (ck % 4 + 1).cast("string")))
     keyed = j.select(
-        F.date_format(F.to_date(F.date_trunc("week", F.col("l_shipdate"))), "d/M/yy").alias("week_date"),
+        F.to_date(F.date_trunc("week", F.col("l_shipdate"))).alias("week_start"),
         F.col("r_name").alias("region"),
         F.when(F.col("l_linestatus") == "O", "Retail").otherwise("Shopify").alias("platform"),
         segment.alias("segment"),
@@ -187,8 +187,11 @@ def mart_weekly_sales(t: Tables) -> DataFrame:
         .otherwise("Guest").alias("customer_type"),
         F.floor("l_extendedprice").cast("bigint").alias("amount"),
     )
-    return keyed.groupBy("week_date", "region", "platform", "segment", "customer_type").agg(
+    # group on the typed week start; the d/M/yy text is formatted once per output row
+    weekly = keyed.groupBy("week_start", "region", "platform", "segment", "customer_type").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast("bigint").alias("sales"))
+    return weekly.select(F.date_format("week_start", "d/M/yy").alias("week_date"), "region", "platform", "segment",
+                         "customer_type", "transactions", "sales")
 
 
 # ---------------------------------------------------------------- D6 clickstream
@@ -211,6 +214,15 @@ def click_users(t: Tables) -> DataFrame:
     return cookies.select(int_div("cookie_id", F.lit(3)).alias("user_id"), "cookie_id")
 
 
+# ---------------------------------------------------------------- shared (materialised) views
+SHARED_VIEWS = ("diner_sales", "foodie_subscriptions", "bank_nodes", "click_events", "click_users")
+
+
+def shared_view(t: Tables, name: str) -> DataFrame:
+    """``name``'s view, materialised once and reused by every analytic reading it."""
+    return t.view(name, lambda: globals()[name](t))
+
+
 # ---------------------------------------------------------------- DuckDB text (oracle only)
 SQL: dict[str, str] = {
     "diner_sales": """SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS order_date,

@@ -28,6 +28,11 @@ class Tables:
             self._frames[name] = df
         return df
 
+    def view(self, name: str, build) -> DataFrame:
+        """A derived table shared by many analytics, materialised once per application."""
+        from tallyspark.operators.materialize import shared
+        return shared(self.spark, self.sf_dir, name, build)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
             raise AttributeError(name)

@@ -61,3 +61,20 @@ def test_running_total_range_frame(spark):
     df = spark.createDataFrame(data, "c long, d date, x long")
     got = sorted((r["c"], r["d"].day, r["x"], r["run"]) for r in with_running_total(df, ["c"], "d", "x", "run").collect())
     assert got == [(1, 1, -2, 3), (1, 1, 5, 3), (1, 3, 10, 13), (2, 2, 1, 1)]
+
+
+def test_neighbours_and_rank_match_plain_windows(spark):
+    from tallyspark.operators.sequence import neighbours, rank_in_order
+    rnd = random.Random(11)
+    data = [(rnd.choice([1, 1, 1, 2, 3]), dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 20)), i, rnd.randint(0, 9))
+            for i in range(400)]
+    df = spark.createDataFrame(data, "g long, d date, k long, x long")
+    w = Window.partitionBy("g").orderBy("d", "k")
+    expect = {r["k"]: (r["px"], r["nx"], r["nd"], r["rk"]) for r in df.select(
+        "k", F.lag("x").over(w).alias("px"), F.lead("x").over(w).alias("nx"), F.lead("d").over(w).alias("nd"),
+        F.rank().over(Window.partitionBy("g").orderBy("d")).alias("rk")).collect()}
+    got_n = neighbours(df, ["g"], ["d", "k"], ["d"], ["x", "d"])
+    got_r = rank_in_order(df, ["g"], ["d"], ["d"], "rk")
+    rk = {r["k"]: r["rk"] for r in got_r.collect()}
+    got = {r["k"]: (r["prev_x"], r["next_x"], r["next_d"], rk[r["k"]]) for r in got_n.collect()}
+    assert got == expect
