@@ -28,6 +28,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return out
 
 
+def build_views(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of every shared intermediate view, keyed by name (for timing them apart)."""
+    out: dict[str, Callable[[], DataFrame]] = {}
+    for m in MODULES:
+        for k, fn in getattr(m, "VIEWS", {}).items():
+            out[k] = (lambda f: lambda: f(Tables(spark, sf_dir)))(fn)
+    return out
+
+
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for m in MODULES:
