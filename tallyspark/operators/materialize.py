@@ -39,7 +39,11 @@ def shared(spark: SparkSession, scope: str, name: str, build: Callable[[], DataF
     application), or the lazy plan itself when materialisation is switched off."""
     if not enabled(spark):
         return build()
-    key = (spark.sparkContext.applicationId, scope, name)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Connect) stay lazy
+        return build()
+    key = (app, scope, name)
     df = _SHARED.get(key)
     if df is None:
         df = materialize(build(), name)
