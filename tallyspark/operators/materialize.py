@@ -28,7 +28,10 @@ def enabled(spark: SparkSession) -> bool:
 def materialize(df: DataFrame, name: str = "result") -> DataFrame:
     """Write ``df`` once (parquet, shared checkpoint folder) and return a frame reading it."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    try:
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect): keep the plan lazy
+        return df
     path = f"{root}/tallyspark/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -43,7 +46,7 @@ def shared(spark: SparkSession, scope: str, name: str, build: Callable[[], DataF
         app = spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - sessions without a SparkContext (Connect) stay lazy
         return build()
-    key = (app, scope, name)
+    key = (f"{app}/{id(spark)}", scope, name)
     df = _SHARED.get(key)
     if df is None:
         df = materialize(build(), name)
@@ -52,5 +55,5 @@ def shared(spark: SparkSession, scope: str, name: str, build: Callable[[], DataF
 
 
 def built_views(spark: SparkSession, scope: str) -> list[str]:
-    app = spark.sparkContext.applicationId
+    app = f"{spark.sparkContext.applicationId}/{id(spark)}"
     return [n for (a, s, n) in _SHARED if a == app and s == scope]

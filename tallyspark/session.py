@@ -17,6 +17,25 @@ DEFAULT_CONF = {
 }
 
 
+# What the plans assume on a large cluster (~100 TB of input, ~1000 executors). Passed to
+# the cluster's own session builder; nothing here is applied automatically.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    # start wide, let AQE coalesce small shuffle partitions to ~256 MB each
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    # split a hot key on sort-merge joins (extreme_rows, rank and neighbour joins back)
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # scan splits ~256 MB; parquet row groups of that order keep every task busy
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # runtime broadcast only below 64 MB measured size; bigger sides shuffle
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "tallyspark") -> SparkSession:
     """A local session for tests and the bench (the cluster brings its own)."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
