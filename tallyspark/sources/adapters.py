@@ -118,7 +118,7 @@ def pizza_runners(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D3 subscriptions
-def foodie_subscriptions(t: Tables) -> DataFrame:
+def plan_events(t: Tables) -> DataFrame:
     """Each order is a plan event; a customer's first order is the trial (plan 0), the
     others pick plan 1..4 (4 = churn) from the order key. ``event_key`` breaks date ties."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -164,7 +164,7 @@ def bank_txns(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D5 weekly retail
-def mart_weekly_sales(t: Tables) -> DataFrame:
+def weekly_sales_raw(t: Tables) -> DataFrame:
     """Weekly sales by region × platform × segment × customer type, dates as d/M/yy text."""
     li = t.lineitem.select("l_orderkey", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey")
@@ -215,7 +215,7 @@ def click_users(t: Tables) -> DataFrame:
 
 
 # ---------------------------------------------------------------- shared (materialised) views
-SHARED_VIEWS = ("diner_sales", "foodie_subscriptions", "bank_nodes", "click_events", "click_users")
+SHARED_VIEWS = ("diner_sales", "plan_events", "bank_nodes", "click_events", "click_users")
 
 
 def shared_view(t: Tables, name: str) -> DataFrame:
@@ -262,7 +262,7 @@ SQL: dict[str, str] = {
         FROM orders""",
     "pizza_runners": f"""SELECT s_suppkey AS runner_id,
         CAST(DATE '{MEMBER_EPOCH}' + CAST(s_suppkey % 21 AS INTEGER) AS DATE) AS registration_date FROM supplier""",
-    "foodie_subscriptions": """SELECT o.o_custkey AS customer_id,
+    "plan_events": """SELECT o.o_custkey AS customer_id,
         CAST(CASE WHEN o.o_orderkey = f.first_key THEN 0 ELSE o.o_orderkey % 4 + 1 END AS BIGINT) AS plan_id,
         CAST(o.o_orderdate AS DATE) AS start_date, o.o_orderkey AS event_key
         FROM orders o JOIN (SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_key
@@ -275,7 +275,7 @@ SQL: dict[str, str] = {
     "bank_txns": """SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS txn_date,
         CASE o_orderstatus WHEN 'O' THEN 'deposit' WHEN 'F' THEN 'withdrawal' ELSE 'purchase' END AS txn_type,
         CAST(floor(o_totalprice) AS BIGINT) AS txn_amount FROM orders""",
-    "mart_weekly_sales": """SELECT strftime(CAST(date_trunc('week', l.l_shipdate) AS DATE), '%-d/%-m/%y') AS week_date,
+    "weekly_sales_raw": """SELECT strftime(CAST(date_trunc('week', l.l_shipdate) AS DATE), '%-d/%-m/%y') AS week_date,
         r.r_name AS region, CASE l.l_linestatus WHEN 'O' THEN 'Retail' ELSE 'Shopify' END AS platform,
         CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'null'
              ELSE (CASE WHEN c.c_custkey % 2 = 0 THEN 'C' ELSE 'F' END) || CAST(c.c_custkey % 4 + 1 AS VARCHAR) END AS segment,

@@ -102,7 +102,7 @@ SQL = {
                      + _values_sql(PIZZA_RECIPES, ["pizza_id", "toppings"]),
     "pizza_toppings": "SELECT CAST(topping_id AS BIGINT) AS topping_id, topping_name FROM "
                       + _values_sql(PIZZA_TOPPINGS, ["topping_id", "topping_name"]),
-    "foodie_plans": "SELECT CAST(plan_id AS BIGINT) AS plan_id, plan_name, CAST(price AS DECIMAL(5,2)) AS price FROM "
+    "plan_catalog": "SELECT CAST(plan_id AS BIGINT) AS plan_id, plan_name, CAST(price AS DECIMAL(5,2)) AS price FROM "
                     + _values_sql(PLANS, ["plan_id", "plan_name", "price"]),
     "click_event_identifier": "SELECT CAST(event_type AS BIGINT) AS event_type, event_name FROM "
                               + _values_sql(EVENT_NAMES, ["event_type", "event_name"]),
