@@ -61,12 +61,3 @@ def int_div(num, den) -> Column:
 
 def int_div_sql(num: str, den: str) -> str:
     return f"CAST(CAST({num} AS HUGEINT) // CAST(NULLIF({den}, 0) AS HUGEINT) AS BIGINT)"
-
-
-def decimal_round(x, scale: int) -> Column:
-    """Round a double that carries at most a few exact digits into ``decimal(24, scale)``."""
-    return _c(x).cast(f"decimal({OUT_PRECISION},{scale})")
-
-
-def decimal_round_sql(x: str, scale: int) -> str:
-    return f"CAST({x} AS DECIMAL({OUT_PRECISION},{scale}))"
