@@ -30,3 +30,18 @@ def test_entry_smoke(spark):
 def test_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     assert compare(df, con, E.oracle_sql()[key]) == []
+
+
+ANSI_OFF_KEYS = ["revenue_with_extras", "pizza_deliveries_cleaned", "order_item_text", "ingredient_list_text",
+                 "sub_payments", "sub_growth", "bank_balance_growth_pct", "retail_clean_weekly",
+                 "retail_impact_region", "web_view_to_cart_rate", "web_visit_campaigns", "diner_member_ranked"]
+
+
+@pytest.mark.parametrize("key", ANSI_OFF_KEYS)
+def test_matches_oracle_with_ansi_off(spark, con, key):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = E.queries()[key](spark, SF)
+        assert compare(df, con, E.oracle_sql()[key]) == []
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
