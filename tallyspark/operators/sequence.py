@@ -64,3 +64,19 @@ def rank_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], buc
     offsets = counts.select(*group, *bucket, F.coalesce(F.sum("__n").over(wg), F.lit(0)).alias("__off"))
     res = inner.join(offsets, group + bucket)
     return res.withColumn(out, (F.col("__off") + F.col("__r")).cast("bigint")).drop("__r", "__off")
+
+
+def preceding_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: Sequence[str],
+                  weight: str, out: str = "preceding") -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over the group's rows whose ``order`` is strictly smaller
+    (``RANK() - 1`` when every weight is 1). ``bucket`` is non-decreasing along ``order``."""
+    group, order, bucket = list(group), list(order), list(bucket)
+    keys = group + bucket + order
+    at = df.groupBy(*keys).agg(F.sum(weight).alias("__w"))
+    wb = Window.partitionBy(*group, *bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = at.select(*keys, F.coalesce(F.sum("__w").over(wb), F.lit(0)).alias("__in"))
+    per_bucket = at.groupBy(*group, *bucket).agg(F.sum("__w").alias("__bw"))
+    wg = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(*group, *bucket, F.coalesce(F.sum("__bw").over(wg), F.lit(0)).alias("__off"))
+    sums = inner.join(offsets, group + bucket).select(*keys, (F.col("__off") + F.col("__in")).cast("bigint").alias(out))
+    return df.join(sums, keys)

@@ -67,9 +67,18 @@ def test_int_div_truncates_toward_zero(spark):
 
 
 def test_monthly_series_drifts_like_postgres(spark):
-    df = spark.createDataFrame([(dt.date(2020, 1, 31),)], "s date")
-    got = df.select(monthly_dates_drifting("s", F.lit(3))).first()[0]
-    assert got == [dt.date(2020, 1, 31), dt.date(2020, 2, 29), dt.date(2020, 3, 29), dt.date(2020, 4, 29)]
+    df = spark.createDataFrame([(dt.date(2020, 1, 31),), (dt.date(2019, 10, 31),), (dt.date(2020, 5, 15),)], "s date")
+    got = [r["d"] for r in df.select(monthly_dates_drifting("s", F.lit(5)).alias("d")).collect()]
+    assert got[0][:4] == [dt.date(2020, 1, 31), dt.date(2020, 2, 29), dt.date(2020, 3, 29), dt.date(2020, 4, 29)]
+    assert got[1] == [dt.date(2019, 10, 31), dt.date(2019, 11, 30), dt.date(2019, 12, 30), dt.date(2020, 1, 30),
+                      dt.date(2020, 2, 29), dt.date(2020, 3, 29)]
+    assert got[2] == [dt.date(2020, m, 15) for m in range(5, 11)]
+    con = duckdb.connect()
+    for start, series in zip(["2020-01-31", "2019-10-31", "2020-05-15"], got):
+        ref = [r[0].date() for r in con.execute(
+            f"SELECT unnest(generate_series(TIMESTAMP '{start}', TIMESTAMP '{start}' + INTERVAL 5 MONTH, "
+            "INTERVAL 1 MONTH))").fetchall()]
+        assert series == ref[:len(series)]
 
 
 def test_leading_number_and_null_text(spark):
