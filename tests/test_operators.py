@@ -78,3 +78,13 @@ def test_neighbours_and_rank_match_plain_windows(spark):
     rk = {r["k"]: r["rk"] for r in got_r.collect()}
     got = {r["k"]: (r["prev_x"], r["next_x"], r["next_d"], rk[r["k"]]) for r in got_n.collect()}
     assert got == expect
+
+
+def test_preceding_sum_matches_brute_force(spark):
+    from tallyspark.operators.sequence import preceding_sum
+    rnd = random.Random(19)
+    data = [(rnd.choice([1, 1, 1, 2]), rnd.randint(0, 400), rnd.randint(1, 5)) for _ in range(300)]
+    df = spark.createDataFrame([(g, t, t // 100, w) for g, t, w in data], "g long, t long, b long, w long")
+    got = sorted((r["g"], r["t"], r["w"], r["before"]) for r in preceding_sum(df, ["g"], ["t"], ["b"], "w", "before").collect())
+    expect = sorted((g, t, w, sum(w2 for g2, t2, w2 in data if g2 == g and t2 < t)) for g, t, w in data)
+    assert got == expect
