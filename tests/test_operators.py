@@ -88,3 +88,17 @@ def test_preceding_sum_matches_brute_force(spark):
     got = sorted((r["g"], r["t"], r["w"], r["before"]) for r in preceding_sum(df, ["g"], ["t"], ["b"], "w", "before").collect())
     expect = sorted((g, t, w, sum(w2 for g2, t2, w2 in data if g2 == g and t2 < t)) for g, t, w in data)
     assert got == expect
+
+
+def test_truncating_averages_follow_tsql(spark):
+    from tallyspark.plans import balances as B
+    nodes = spark.createDataFrame(
+        [(1, 1, 1, dt.date(2020, 1, 1), dt.date(2020, 1, 15)), (2, 1, 2, dt.date(2020, 1, 1), dt.date(2020, 1, 16)),
+         (3, 1, 3, dt.date(2020, 1, 1), dt.date(9999, 12, 31))],
+        "customer_id long, region_id long, node_id long, start_date date, end_date date")
+    assert B.avg_realloc_days(nodes).first()[0] == Decimal("14.500")
+    assert B.avg_realloc_days(nodes, truncate=True).first()[0] == 14
+    txns = spark.createDataFrame([(1, dt.date(2020, 1, 1), "deposit", 10), (1, dt.date(2020, 1, 2), "deposit", 15)],
+                                 "customer_id long, txn_date date, txn_type string, txn_amount long")
+    assert B.deposits_by_customer(txns).first()["average_amount"] == Decimal("12.50")
+    assert B.deposits_by_customer(txns, truncate=True).first()["average_amount"] == 12
