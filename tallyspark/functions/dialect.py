@@ -75,8 +75,15 @@ def iso_weekday(ts) -> Column:
 
 
 def seconds_between(later, earlier) -> Column:
-    """Whole seconds from ``earlier`` to ``later`` (``EXTRACT(EPOCH FROM later - earlier)``)."""
-    return F.timestamp_diff("SECOND", _c(earlier), _c(later)).cast("bigint")
+    """Whole seconds from ``earlier`` to ``later`` (``EXTRACT(EPOCH FROM later - earlier)``) for
+    wall-clock timestamps: days apart × 86400 plus the time-of-day difference, so no
+    session time zone (and no DST gap) is involved."""
+    a, b = _c(earlier), _c(later)
+
+    def tod(t):
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+    return (F.datediff(F.to_date(b), F.to_date(a)).cast("bigint") * 86400 + tod(b) - tod(a)).cast("bigint")
 
 
 def seconds_between_sql(later: str, earlier: str) -> str:

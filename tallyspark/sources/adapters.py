@@ -26,6 +26,16 @@ def _date(c: str):
     return F.to_date(F.col(c))
 
 
+def _wall_clock_text(ts):
+    """``yyyy-MM-dd HH:mm:ss`` of a timestamp_ntz, built from its parts so no session time
+    zone is involved (formatting converts through the zone and shifts DST-gap times)."""
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.lpad(F.year(ts).cast("string"), 4, "0"), F.lit("-"), two(F.month(ts)), F.lit("-"),
+                    two(F.dayofmonth(ts)), F.lit(" "), two(F.hour(ts)), F.lit(":"), two(F.minute(ts)), F.lit(":"),
+                    two(F.second(ts)))
+
+
 def _key(*cols):
     return F.concat_ws("-", *[F.col(c).cast("string") for c in cols])
 
@@ -91,8 +101,7 @@ def pizza_runner_orders(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
     cancelled = F.col("o_orderstatus") == "F"
-    pickup = F.date_format(
-        F.col("o_orderdate") + F.make_dt_interval(mins=(k % 1440 + k % 37 + 5).cast("int")), "yyyy-MM-dd HH:mm:ss")
+    pickup = _wall_clock_text(F.col("o_orderdate") + F.make_dt_interval(mins=(k % 1440 + k % 37 + 5).cast("int")))
     dist = F.concat((k % 40 + 1).cast("string"), F.lit("."), (k % 10).cast("string"),
                     F.when(k % 3 == 0, "km").when(k % 3 == 1, " km").otherwise(""))
     dur = F.concat((k % 35 + 10).cast("string"),
@@ -179,7 +188,7 @@ def weekly_sales_raw(t: Tables) -> DataFrame:
     segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null")).otherwise(
         F.concat(F.when(ck % 2 == 0, "C").otherwise("F"), (ck % 4 + 1).cast("string")))
     keyed = j.select(
-        F.to_date(F.date_trunc("week", F.col("l_shipdate"))).alias("week_start"),
+        F.date_sub(F.to_date("l_shipdate"), F.weekday(F.to_date("l_shipdate"))).alias("week_start"),  # Monday
         F.col("r_name").alias("region"),
         F.when(F.col("l_linestatus") == "O", "Retail").otherwise("Shopify").alias("platform"),
         segment.alias("segment"),
@@ -190,7 +199,9 @@ def weekly_sales_raw(t: Tables) -> DataFrame:
     # group on the typed week start; the d/M/yy text is formatted once per output row
     weekly = keyed.groupBy("week_start", "region", "platform", "segment", "customer_type").agg(
         F.count(F.lit(1)).alias("transactions"), F.sum("amount").cast("bigint").alias("sales"))
-    return weekly.select(F.date_format("week_start", "d/M/yy").alias("week_date"), "region", "platform", "segment",
+    dmy = F.concat_ws("/", F.dayofmonth("week_start").cast("string"), F.month("week_start").cast("string"),
+                      F.lpad((F.year("week_start") % 100).cast("string"), 2, "0"))
+    return weekly.select(dmy.alias("week_date"), "region", "platform", "segment",
                          "customer_type", "transactions", "sales")
 
 
