@@ -45,3 +45,19 @@ def test_matches_oracle_with_ansi_off(spark, con, key):
         assert compare(df, con, E.oracle_sql()[key]) == []
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+TZ_KEYS = ["pizza_deliveries_cleaned", "runner_pickup_minutes", "order_prep_vs_size", "delivery_time_range",
+           "retail_clean_weekly", "web_visit_campaigns", "pizza_volume_by_hour"]
+
+
+@pytest.mark.parametrize("key", TZ_KEYS)
+def test_matches_oracle_in_a_dst_time_zone(spark, key):
+    """Wall-clock timestamps must not move with the session zone (DST gaps included)."""
+    sf = "/root/testdata/sf0.01"
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[key](spark, sf)
+        assert compare(df, duck(sf), E.oracle_sql()[key]) == []
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
