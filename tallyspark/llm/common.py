@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,15 @@ SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers find this package where it isn't installed (a checkout)."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in (path := env.get("PYTHONPATH", "")).split(":"):
+        env["PYTHONPATH"] = f"{path}:{root}".strip(":")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, dedup, mixing, rules
+from tallyspark.llm import bpe, dedup, mixing, ngram, rules
 from tallyspark.llm.common import table
 
 
@@ -29,6 +29,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and group of every document under 5-word shingle similarity of 0.75 or more."""
+    found = ngram.jaccard_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "group_size")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, distances and verdict of every document."""
     return rules.quality_rules(table(spark, sf_dir, "documents")).drop("__file", "__row")
@@ -38,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
 }
 
