@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -399,7 +400,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, key: Column | str = "
 
 def _byte_ranges(texts: pa.Array, size: int = 16 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``size`` bytes of text, so that few texts are Python objects at once."""
-    lengths = np.array(pa.compute.fill_null(pa.compute.binary_length(texts), 0))
+    lengths = np.array(pc.fill_null(pc.binary_length(texts), 0))
     begin = 0
     while begin < len(lengths):
         end = begin + max(1, int(np.searchsorted(np.cumsum(lengths[begin:]), size)))

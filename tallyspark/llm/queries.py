@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, dedup, mixing, ngram, rules
+from tallyspark.llm import bpe, chat, dedup, idfiles, mixing, ngram, piececount, quality, rules, toxicity
 from tallyspark.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, posterior and score of every document by weak labels."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document among equal normalised texts, and the row that stays."""
     found = dedup.exact_dedup(table(spark, sf_dir, "documents"))
@@ -29,6 +34,19 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, encoded and read back, with one of control strings only."""
+    own = spark.sql("SELECT -7L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to block files and read back from them."""
+    docs = table(spark, sf_dir, "documents")
+    return idfiles.read_ids(idfiles.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and group of every document under 5-word shingle similarity of 0.75 or more."""
     found = ngram.jaccard_groups(table(spark, sf_dir, "documents"))
@@ -40,12 +58,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents")).drop("__file", "__row")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy word-piece counts of every document."""
+    return piececount.count_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_mixing": op4_mixing,
+    "op5_chat": op5_chat,
+    "op6_id_files": op6_id_files,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_counts": op9_token_counts,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
