@@ -51,12 +51,10 @@ def ratio_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
 def int_div(num, den) -> Column:
     """Integer division truncating toward zero (T-SQL ``int / int``, PostgreSQL ``div``).
 
-    NULL when ``den`` is 0 or NULL. ``%`` keeps the dividend's sign, so ``n - n % d`` is an
-    exact multiple of ``d``.
+    Both sides are whole numbers of 64 bits. NULL when ``den`` is 0 or NULL.
     """
-    n = _c(num).cast("decimal(38,0)")
-    d = _c(den).cast("decimal(38,0)")
-    return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
+    n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
+    return F.when(d != 0, F.call_function("div", n, d))
 
 
 def int_div_sql(num: str, den: str) -> str:

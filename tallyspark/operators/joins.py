@@ -1,37 +1,36 @@
-"""Joins Spark has no single operator for: point-in-interval (range) join.
-
-Without an equality key Spark plans a range join as a nested loop, which is only sane
-when one side is small enough to broadcast. ``interval_join`` checks the interval side's
-row count against a bound: within it, a broadcast nested-loop join; beyond it, every
-interval is exploded to the days it covers and joined on (day) as an equi-join – a
-shuffled hash/sort-merge join that scales with both sides – and the exact bounds are
-re-checked in the join condition.
-"""
+"""Joins Spark has no single operator for: point-in-interval (range) join, and joining a
+per-key result back to its rows with NULL keys kept."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 10_000
+
+def join_back(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``rows JOIN per_key`` on ``keys`` with NULL equal to NULL, as a window's partitions have it
+    (an equi-join still: Spark rewrites a null-safe equality to hashable keys)."""
+    other = per_key.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    cond = [rows[k].eqNullSafe(other[f"__key_{k}"]) for k in keys]
+    return rows.join(other, cond, how).drop(*[f"__key_{k}" for k in keys])
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str,
-                  how: str = "left", known_rows: int | None = None,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, how: str = "left") -> DataFrame:
     """``points JOIN intervals ON points.at BETWEEN intervals.start AND intervals.end``.
 
-    ``known_rows`` is the interval side's row count when it is known without a job (a fixed
-    dimension); otherwise it is counted. Columns of ``intervals`` other than ``start``/``end``
-    must not clash with those of ``points``.
+    Every interval is clipped to the first and last day of the points, exploded to its days and
+    joined on the day, and the exact bounds are checked again. An open interval thus costs no
+    more rows than the points span days. AQE broadcasts the day table if it turns out small.
+    Columns of ``intervals`` other than ``start``/``end`` must not clash with those of ``points``.
     """
-    n = known_rows if known_rows is not None else intervals.count()
-    if n <= broadcast_max_rows:
-        iv = F.broadcast(intervals)
-        cond = (points[at] >= iv[start]) & (points[at] <= iv[end])
-        return points.join(iv, cond, how)
-    days = intervals.withColumn(
-        "__day", F.explode(F.sequence(F.to_date(F.col(start)), F.to_date(F.col(end)))))
+    span = points.agg(F.min(F.to_date(F.col(at))).alias("__lo"), F.max(F.to_date(F.col(at))).alias("__hi"))
+    first, last = F.greatest(F.to_date(F.col(start)), F.col("__lo")), F.least(F.to_date(F.col(end)), F.col("__hi"))
+    known = intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    clipped = known.join(F.broadcast(span), F.lit(True)).withColumn("__first", first).withColumn("__last", last)  # span is one row
+    days = clipped.where(F.col("__first") <= F.col("__last")).withColumn(
+        "__day", F.explode(F.sequence("__first", "__last"))).drop("__lo", "__hi", "__first", "__last")
     p = points.withColumn("__pday", F.to_date(F.col(at)))
     cond = (p["__pday"] == days["__day"]) & (p[at] >= days[start]) & (p[at] <= days[end])
     return p.join(days, cond, how).drop("__day", "__pday")

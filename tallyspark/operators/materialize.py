@@ -5,7 +5,7 @@ The case studies keep cleaned tables and intermediate results as temp tables
 to the shared folder named by ``spark.checkpoint.dir``. That cuts the lineage (a lost
 executor re-reads the table instead of recomputing the raw scans and joins), and every
 branch of a later plan reads the small typed table instead of re-running its upstream.
-Shared views are memoised per application and data directory.
+Shared views are memoised per application and the files of the data directory.
 """
 
 from __future__ import annotations
@@ -18,42 +18,48 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyspark.session import ensure_checkpoint_dir
 
 CONF_ENABLED = "spark.tallyspark.materialize"
-_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+_SHARED: dict[tuple[str, str, str], tuple[tuple, DataFrame]] = {}
 
 
 def enabled(spark: SparkSession) -> bool:
     return spark.conf.get(CONF_ENABLED, "true").lower() == "true"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path's file system and Hadoop path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def listing(spark: SparkSession, scope: str) -> tuple:
+    """Name, length and modification time of every file below ``scope``."""
+    fs, p = _hadoop(spark, scope)
+    files, out = fs.listFiles(p, True), []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def materialize(df: DataFrame, name: str = "result") -> DataFrame:
-    """Write ``df`` once (parquet, shared checkpoint folder) and return a frame reading it."""
+    """Write ``df`` once (parquet, shared checkpoint folder) and return a frame reading it. The
+    folder goes when the application ends."""
     spark = df.sparkSession
-    try:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-    except Exception:  # noqa: BLE001 - no SparkContext (Connect): keep the plan lazy
-        return df
-    path = f"{root}/tallyspark/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tallyspark/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    fs, p = _hadoop(spark, path)
+    fs.deleteOnExit(p)
     return spark.read.parquet(path)
 
 
 def shared(spark: SparkSession, scope: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The materialised view ``name`` for data ``scope`` (built on first use in this
-    application), or the lazy plan itself when materialisation is switched off."""
+    """The materialised view ``name`` for the files below ``scope`` as they are now (built on first use
+    in this application, and again when they change), or the lazy plan itself when
+    materialisation is switched off."""
     if not enabled(spark):
         return build()
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Connect) stay lazy
-        return build()
-    key = (f"{app}/{id(spark)}", scope, name)
-    df = _SHARED.get(key)
-    if df is None:
-        df = materialize(build(), name)
-        _SHARED[key] = df
-    return df
-
-
-def built_views(spark: SparkSession, scope: str) -> list[str]:
-    app = f"{spark.sparkContext.applicationId}/{id(spark)}"
-    return [n for (a, s, n) in _SHARED if a == app and s == scope]
+    key = (f"{spark.sparkContext.applicationId}/{id(spark)}", scope, name)
+    now = listing(spark, scope)
+    if key not in _SHARED or _SHARED[key][0] != now:
+        _SHARED[key] = now, materialize(build(), name)
+    return _SHARED[key][1]

@@ -13,9 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.joins import join_back
+
 
 def extreme_rows(df: DataFrame, group: Sequence[str], order_col: str, largest: bool = False) -> DataFrame:
-    """Rows whose ``order_col`` is the group's minimum (or maximum): ``RANK() … = 1``, ties kept."""
+    """Rows whose ``order_col`` is the group's minimum (or maximum), ties kept; a NULL
+    ``order_col`` is never an extreme, a NULL group is a group."""
     agg = F.max(order_col) if largest else F.min(order_col)
     best = df.groupBy(*group).agg(agg.alias("__best"))
     cond = [df[g].eqNullSafe(best[g]) for g in group] + [df[order_col] == best["__best"]]
@@ -33,7 +36,7 @@ def rank_by_value(df: DataFrame, group: Sequence[str], order_col: str, out: str
     w = Window.partitionBy(*group).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(*group, order_col,
                           (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1).cast("bigint").alias(out))
-    return df.join(ranks, [*group, order_col])
+    return join_back(df, ranks, [*group, order_col])
 
 
 def top_n(df: DataFrame, n: int, *order: str | object) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.joins import join_back
+
 
 def running_total_by(df: DataFrame, group: Sequence[str], order_col: str, value: str, out: str) -> DataFrame:
     """Per-(group, order_col) totals plus their running sum ``out`` in order of ``order_col``."""
@@ -21,6 +23,7 @@ def running_total_by(df: DataFrame, group: Sequence[str], order_col: str, value:
 
 
 def with_running_total(df: DataFrame, group: Sequence[str], order_col: str, value: str, out: str) -> DataFrame:
-    """Every row of ``df`` plus the RANGE-frame running total ``out``."""
+    """Every row of ``df`` plus the RANGE-frame running total ``out`` (NULL keys form a group,
+    NULL order comes first, as in a window)."""
     totals = running_total_by(df, group, order_col, value, out).drop("__step")
-    return df.join(totals, [*group, order_col])
+    return join_back(df, totals, [*group, order_col])

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.operators.joins import join_back
+
 
 def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket: Sequence[str],
                cols: Sequence[str], prev: bool = True, nxt: bool = True) -> DataFrame:
@@ -41,7 +43,7 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], bucket
     ends = df.groupBy(*group, *bucket).agg(F.min(payload).alias("__lo"), F.max(payload).alias("__hi"))
     wg = Window.partitionBy(*group).orderBy(*bucket)
     ends = ends.select(*group, *bucket, F.lag("__hi").over(wg).alias("__prev_hi"), F.lead("__lo").over(wg).alias("__next_lo"))
-    out = inner.join(ends, group + bucket)
+    out = join_back(inner, ends, group + bucket)
     for c in cols:
         if prev:
             out = out.withColumn(f"prev_{c}", F.when(F.col("__first"), F.col("__prev_hi")[f"v_{c}"])
@@ -62,7 +64,7 @@ def rank_in_order(df: DataFrame, group: Sequence[str], order: Sequence[str], buc
     counts = df.groupBy(*group, *bucket).agg(F.count(F.lit(1)).alias("__n"))
     wg = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group, *bucket, F.coalesce(F.sum("__n").over(wg), F.lit(0)).alias("__off"))
-    res = inner.join(offsets, group + bucket)
+    res = join_back(inner, offsets, group + bucket)
     return res.withColumn(out, (F.col("__off") + F.col("__r")).cast("bigint")).drop("__r", "__off")
 
 
@@ -71,12 +73,12 @@ def preceding_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], buc
     """Add ``out`` = sum of ``weight`` over the group's rows whose ``order`` is strictly smaller
     (``RANK() - 1`` when every weight is 1). ``bucket`` is non-decreasing along ``order``."""
     group, order, bucket = list(group), list(order), list(bucket)
-    keys = group + bucket + order
+    keys = list(dict.fromkeys(group + bucket + order))
     at = df.groupBy(*keys).agg(F.sum(weight).alias("__w"))
     wb = Window.partitionBy(*group, *bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inner = at.select(*keys, F.coalesce(F.sum("__w").over(wb), F.lit(0)).alias("__in"))
     per_bucket = at.groupBy(*group, *bucket).agg(F.sum("__w").alias("__bw"))
     wg = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(*group, *bucket, F.coalesce(F.sum("__bw").over(wg), F.lit(0)).alias("__off"))
-    sums = inner.join(offsets, group + bucket).select(*keys, (F.col("__off") + F.col("__in")).cast("bigint").alias(out))
-    return df.join(sums, keys)
+    sums = join_back(inner, offsets, group + bucket).select(*keys, (F.col("__off") + F.col("__in")).cast("bigint").alias(out))
+    return join_back(df, sums, keys)

@@ -32,7 +32,6 @@ DEMOGRAPHICS = [("C", "Couples"), ("F", "Families")]
 # ------------------------------------------------------------------------------------
 
 # Our own choices for the synthetic clickstream dimensions (not from the case studies).
-N_PAGES = 100
 CHECKOUT_PAGE = 12
 CAMPAIGNS = [
     ("Campaign A", "2024-01-03 00:00:00", "2024-01-09 23:59:59"),
@@ -72,13 +71,13 @@ def event_identifier(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(EVENT_NAMES, "event_type long, event_name string")
 
 
-def page_hierarchy(spark: SparkSession) -> DataFrame:
-    """Pages 0..99; every tenth page, the home page (1), checkout (12) and confirmation (13)
-    carry no product."""
-    pid = F.col("id")
+def page_hierarchy(events: DataFrame) -> DataFrame:
+    """The pages that ``events`` (``page_id``) name; every tenth page, the home page (1), checkout (12)
+    and confirmation (13) carry no product."""
+    pid = F.col("page_id")
     no_product = (pid % 10 == 0) | pid.isin(1, CHECKOUT_PAGE, 13)
-    return spark.range(N_PAGES).select(
-        pid.alias("page_id"),
+    return events.select("page_id").where(pid.isNotNull()).distinct().select(
+        "page_id",
         F.when(pid == 1, "Home Page").when(pid == CHECKOUT_PAGE, "Checkout").when(pid == 13, "Confirmation")
         .otherwise(F.concat(F.lit("page_"), pid.cast("string"))).alias("page_name"),
         F.when(~no_product, F.concat(F.lit("cat_"), (pid % 3).cast("string"))).alias("product_category"),
@@ -112,7 +111,7 @@ SQL = {
         CASE WHEN NOT (page_id % 10 = 0 OR page_id IN (1, {CHECKOUT_PAGE}, 13))
              THEN 'cat_' || CAST(page_id % 3 AS VARCHAR) END AS product_category,
         CASE WHEN NOT (page_id % 10 = 0 OR page_id IN (1, {CHECKOUT_PAGE}, 13)) THEN page_id END AS product_id
-        FROM (SELECT CAST(range AS BIGINT) AS page_id FROM range({N_PAGES})) p""",
+        FROM (SELECT DISTINCT page_id FROM click_events WHERE page_id IS NOT NULL) p""",
     "click_campaigns": "SELECT campaign_name, CAST(start_date AS TIMESTAMP) AS start_date, "
                        "CAST(end_date AS TIMESTAMP) AS end_date FROM "
                        + _values_sql(CAMPAIGNS, ["campaign_name", "start_date", "end_date"]),

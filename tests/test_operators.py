@@ -12,25 +12,38 @@ from tallyspark.operators.joins import interval_join
 from tallyspark.operators.quantiles import percentile_cont
 from tallyspark.operators.ranking import extreme_rows, rank_by_value
 from tallyspark.operators.running import with_running_total
+from tallyspark.operators.sequence import neighbours, preceding_sum
 
 
-def test_interval_join_paths_agree(spark):
+def test_interval_join_matches_brute_force(spark):
     base = dt.datetime(2024, 1, 1)
-    pts = spark.createDataFrame([(i, base + dt.timedelta(hours=7 * i)) for i in range(200)], "id long, at timestamp_ntz")
-    iv = spark.createDataFrame([("a", base + dt.timedelta(days=2), base + dt.timedelta(days=5, hours=23)),
-                                ("b", base + dt.timedelta(days=4), base + dt.timedelta(days=9)),
-                                ("c", base + dt.timedelta(days=30), base + dt.timedelta(days=31))],
-                               "name string, s timestamp_ntz, e timestamp_ntz")
-    small = interval_join(pts, iv, "at", "s", "e", known_rows=3)
-    big = interval_join(pts, iv, "at", "s", "e", known_rows=3, broadcast_max_rows=0)
-    a = sorted((r["id"], r["name"]) for r in small.collect())
-    b = sorted((r["id"], r["name"]) for r in big.collect())
-    assert a == b
-    brute = sorted((i, n) for i in range(200) for n, s, e in
-                   [("a", 2 * 24, 5 * 24 + 23), ("b", 4 * 24, 9 * 24), ("c", 30 * 24, 31 * 24)] if s <= 7 * i <= e)
-    hit = sorted(x for x in a if x[1] is not None)
-    assert hit == brute
-    assert sum(1 for x in a if x[1] is None) == sum(1 for i in range(200) if not any(i == j for j, _ in brute))
+    pts = spark.createDataFrame([(i, base + dt.timedelta(hours=7 * i)) for i in range(200)] + [(200, None)], "id long, at timestamp_ntz")
+    spans = [("a", 48, 5 * 24 + 23), ("b", 96, 216), ("c", 720, 744), ("open", 1000, None), ("before", -9000, -8000)]
+    iv = spark.createDataFrame([(n, base + dt.timedelta(hours=s), dt.datetime(9999, 12, 31) if e is None else base + dt.timedelta(hours=e))
+                                for n, s, e in spans], "name string, s timestamp_ntz, e timestamp_ntz")
+    got = sorted((r["id"], r["name"] or "") for r in interval_join(pts, iv, "at", "s", "e").collect())
+    hits = [(i, n) for i in range(200) for n, s, e in spans if s <= 7 * i <= (10**9 if e is None else e)]
+    assert got == sorted(hits + [(i, "") for i in range(201) if i not in {j for j, _ in hits}])
+
+
+def test_interval_join_with_many_intervals(spark):
+    pts = spark.range(50).select("id", (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"))).cast("timestamp_ntz").alias("at"))
+    iv = spark.range(12_000).select(F.col("id").alias("k"), F.lit(dt.datetime(2023, 1, 1)).cast("timestamp_ntz").alias("s"),
+                                    F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz").alias("e"))
+    assert interval_join(pts, iv, "at", "s", "e", how="inner").count() == 2 * 12_000
+
+
+def test_null_keys_are_kept(spark):
+    df = spark.createDataFrame([(1, 1, 5), (1, None, 6), (None, 2, 7), (None, 2, 8), (None, None, 9)], "g int, d int, v int")
+    w = Window.partitionBy("g").orderBy("d")
+    rows = lambda x: sorted(map(str, (tuple(r) for r in x.collect())))
+    assert rows(with_running_total(df, ["g"], "d", "v", "t").select("g", "d", "v", "t")) == rows(df.select("g", "d", "v", F.sum("v").over(w).alias("t")))
+    assert rows(rank_by_value(df, ["g"], "d", "rk").select("g", "d", "v", "rk")) == rows(df.select("g", "d", "v", F.rank().over(w).alias("rk")))
+    total = Window.partitionBy("g").orderBy("d", "v")
+    near = neighbours(df, ["g"], ["d", "v"], ["d"], ["v"])
+    assert rows(near.select("g", "d", "v", "prev_v", "next_v")) == rows(df.select("g", "d", "v", F.lag("v").over(total), F.lead("v").over(total)))
+    one = df.withColumn("one", F.lit(1))
+    assert rows(preceding_sum(one, ["g"], ["d"], ["d"], "one", "n").select("g", "d", "v", "n")) == rows(df.select("g", "d", "v", F.rank().over(w) - 1))
 
 
 def test_percentile_cont_matches_numpy(spark):

@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tallyspark.plans import registry
 from tests.oracle_compare import compare, duck
 
 SF = os.environ.get("TALLYSPARK_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def con():
 
 
 def test_every_key_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
