@@ -35,9 +35,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the order of the mixture: every one at least once, those of sources that
     need more to reach their target weight again."""
     placed = row_address(docs)
-    slots = mixing.mix(placed, keep=["__file", "__row"]).withColumnRenamed("source", "__s")
-    slots = stored(slots.select("__file", "__row", "__s", "slot", "place", "epoch"), "slots")
-    out = placed.join(slots, ["__file", "__row"]).repartitionByRange("slot", "__s", "place", "epoch").sortWithinPartitions("slot", "__s", "place")
+    slots = mixing.mix(placed, keep=["__file", "__row"])
+    slots = stored(slots.select("__file", "__row", F.col("slot").alias("__slot"), F.col("place").alias("__place")), "slots")
+    out = placed.join(slots, ["__file", "__row"]).repartitionByRange("__slot", "__place").sortWithinPartitions("__slot", "__place")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
