@@ -19,13 +19,14 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.bpe import SegmentCoder, _byte_ranges, _Index, text_ids
+from tallyspark.llm.bpe import SegmentCoder, _byte_ranges, text_ids
 from tallyspark.llm.common import shared_path, stored
 
 BLOCK, PERCENTILE = 1024, 90
@@ -182,8 +183,8 @@ _CODERS: dict[str, SegmentCoder] = {}
 
 
 def library_coder(path: str) -> SegmentCoder:
-    """Ids by the tokenizers library: its pre-tokenizer and model on every new segment of the
-    texts (special tokens' strings are ordinary text), once for a worker."""
+    """Ids by the tokenizers library, which encodes every new segment of the texts (special tokens'
+    strings are ordinary text), once for a worker."""
     if path not in _CODERS:
         import os
 
@@ -192,24 +193,11 @@ def library_coder(path: str) -> SegmentCoder:
 
         whole = Tokenizer.from_file(path)
         whole.encode_special_tokens = True
-        split, tokenize = whole.pre_tokenizer.pre_tokenize_str, whole.model.tokenize
 
         def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            numbers, at, per = _Index(), [], np.empty(len(new), np.int64)
-            for i, segment in enumerate(new):
-                pieces = split(segment)
-                at.extend([numbers[p] for p, _ in pieces])
-                per[i] = len(pieces)
-            found = [[t.id for t in tokenize(p)] for p in numbers.new]
+            found = [x.ids for x in whole.encode_batch_fast(new, add_special_tokens=False)]
             count = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((x for f in found for x in f), np.uint32, int(count.sum()))
-            at = np.array(at, np.int64)
-            n = count[at]
-            done = np.cumsum(n)
-            start = np.cumsum(count) - count
-            out = flat[np.repeat(start[at] - (done - n), n) + np.arange(int(done[-1]) if len(done) else 0)]
-            begin, stop = np.concatenate([[0], done]), np.cumsum(per)
-            return out, begin[stop] - begin[stop - per]
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
 
         _CODERS[path] = SegmentCoder(encode)
     return _CODERS[path]
