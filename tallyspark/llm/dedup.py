@@ -28,6 +28,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
+    # many small stores must not reserve disk ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
