@@ -19,7 +19,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +31,8 @@ from tallyspark.llm.common import shared_path, stored
 BLOCK, PERCENTILE = 1024, 90
 #: Blocks that are packed or read at once.
 BATCH = 256
+#: New segments that one call of the library takes.
+CALL = 8192
 MAGIC = b"PFORIDS1"
 _HEAD, _TAIL = struct.Struct("<IBHH"), struct.Struct("<QQQQ8s")
 
@@ -184,7 +185,7 @@ _CODERS: dict[str, SegmentCoder] = {}
 
 def library_coder(path: str) -> SegmentCoder:
     """Ids by the tokenizers library, which encodes every new segment of the texts (special tokens'
-    strings are ordinary text), once for a worker."""
+    strings are ordinary text), once for a worker. A call takes a list of segments, each on its own."""
     if path not in _CODERS:
         import os
 
@@ -193,11 +194,19 @@ def library_coder(path: str) -> SegmentCoder:
 
         whole = Tokenizer.from_file(path)
         whole.encode_special_tokens = True
+        model = whole.model
+        model._resize_cache(0)  # every segment comes once, so the library's own memory never hits
+        whole.model = model
 
         def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [x.ids for x in whole.encode_batch_fast(new, add_special_tokens=False)]
-            count = np.fromiter(map(len, found), np.int64, len(found))
-            return np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum())), count
+            flat, count = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+            for at in range(0, len(new), CALL):
+                some = new[at : at + CALL]
+                found = whole.encode(some, is_pretokenized=True, add_special_tokens=False)
+                flat.append(np.array(found.ids, np.uint32))
+                # a token names the segment it is of; an empty segment has none
+                count.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
+            return np.concatenate(flat), np.concatenate(count)
 
         _CODERS[path] = SegmentCoder(encode)
     return _CODERS[path]
