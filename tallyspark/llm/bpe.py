@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Segments a worker remembers before it starts anew (about 150 bytes each).
+#: Segments a worker remembers before it forgets the half it met least (about 150 bytes each).
 CACHE_SEGMENTS = 400_000
 #: Code points encoded at once; longer texts are cut at safe places.
 CHUNK_CHARS = 2_000_000
@@ -253,20 +253,30 @@ class SegmentCoder:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], bound: int = CACHE_SEGMENTS):
         self.encode, self.bound = encode, bound
-        self._clear()
-
-    def _clear(self) -> None:
         self.index = _Index()
-        self.flat, self.start, self.count = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.flat, self.start, self.count, self.met = np.empty(1 << 16, np.uint32), *(np.empty(1 << 14, np.int64) for _ in range(3))
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the segments that were met most; older meetings count half."""
+        size = len(self.index)
+        stay = np.sort(np.argsort(-self.met[:size], kind="stable")[: self.bound // 2])
+        segments, self.index = list(self.index), _Index()
+        self.index.update(zip((segments[i] for i in stay.tolist()), range(len(stay)), strict=True))
+        count, start = self.count[stay], self.start[stay]
+        done = np.cumsum(count)
+        self.used = int(done[-1]) if len(done) else 0
+        self.flat = self.flat[np.repeat(start - (done - count), count) + np.arange(self.used)]
+        self.start, self.count, self.met = done - count, count, self.met[stay] // 2
+
     def _learn(self) -> None:
         flat, count = self.encode(self.index.new)
         first, last = len(self.index) - len(self.index.new), len(self.index)
         self.flat = _room(self.flat, self.used + len(flat))
-        self.start, self.count = _room(self.start, last), _room(self.count, last)
+        self.start, self.count, self.met = _room(self.start, last), _room(self.count, last), _room(self.met, last)
         self.flat[self.used : self.used + len(flat)] = flat
         self.count[first:last] = count
+        self.met[first:last] = 0
         self.start[first:last] = self.used + np.cumsum(count) - count
         self.used += len(flat)
         self.index.new = []
@@ -279,7 +289,7 @@ class SegmentCoder:
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the texts together should be about a chunk."""
         if len(self.index) > self.bound:
-            self._clear()
+            self._forget()
         at, ends = [], []
         for text in texts:
             at.extend(map(self.index.__getitem__, segments(text)))
@@ -287,6 +297,7 @@ class SegmentCoder:
         if self.index.new:
             self._learn()
         at = np.array(at, np.int64)
+        self.met[: len(self.index)] += np.bincount(at, minlength=len(self.index))
         count = self.count[at]
         done = np.cumsum(count)
         total = int(done[-1]) if len(done) else 0
