@@ -272,4 +272,5 @@ def read_ids(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(file.keys, pa.int64()), pa.array(file.firsts[:-1] + start), pa.array(np.diff(file.firsts)), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     files = manifest.select("file", "start", "shard")
-    return files.repartition("shard").select("file", "start").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # as many partitions as files: the manifest is tiny, so it would else be coalesced into one task
+    return files.repartition(max(1, files.count()), "shard").select("file", "start").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
