@@ -74,6 +74,25 @@ def iso_weekday(ts) -> Column:
     return (F.weekday(_c(ts)) + 1).cast("bigint")
 
 
+def iso_week(d) -> Column:
+    """``EXTRACT(WEEK ...)``: the ISO week, whose first one holds 4 January."""
+    return F.weekofyear(_c(d)).cast("bigint")
+
+
+def iso_week_sql(d: str) -> str:
+    return f"CAST(weekofyear({d}) AS BIGINT)"
+
+
+def time_of_day(ts) -> Column:
+    """``CAST(ts AS TIME)`` as ``HH:mm:ss`` text, from the parts of the wall-clock time."""
+    ts = _c(ts)
+    return F.when(ts.isNotNull(), F.format_string("%02d:%02d:%02d", F.hour(ts), F.minute(ts), F.second(ts)))
+
+
+def time_of_day_sql(ts: str) -> str:
+    return f"strftime({ts}, '%H:%M:%S')"
+
+
 def seconds_between(later, earlier) -> Column:
     """Whole seconds from ``earlier`` to ``later`` (``EXTRACT(EPOCH FROM later - earlier)``) for
     wall-clock timestamps: days apart × 86400 plus the time-of-day difference, so no

@@ -17,6 +17,15 @@ def join_back(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str
     return rows.join(other, cond, how).drop(*[f"__key_{k}" for k in keys])
 
 
+def not_in(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
+    """``rows WHERE key NOT IN (SELECT key FROM others)`` by SQL's NULL rule: a NULL among the others
+    leaves no row, and a NULL key stays only if there are no others."""
+    n = others.agg(F.count(F.lit(1))).scalar()
+    nulls = others.agg(F.count_if(F.col(key).isNull())).scalar()
+    kept = (n == 0) | ((nulls == 0) & F.col(key).isNotNull())
+    return rows.join(others.select(key).distinct(), key, "left_anti").where(kept).select(rows.columns)
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, how: str = "left") -> DataFrame:
     """``points JOIN intervals ON points.at BETWEEN intervals.start AND intervals.end``.
 

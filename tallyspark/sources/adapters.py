@@ -150,7 +150,7 @@ def bank_nodes(t: Tables) -> DataFrame:
     o = neighbours(o, ["o_custkey"], ["start_date", "o_orderkey"], ["start_date"], ["start_date"], prev=False)
     c = t.customer.select("c_custkey", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     start = F.col("start_date")
     return j.select(
         F.col("o_custkey").alias("customer_id"),
@@ -182,8 +182,8 @@ def weekly_sales_raw(t: Tables) -> DataFrame:
     r = t.region.select("r_regionkey", "r_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-         .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+         .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
     ck = F.col("c_custkey")
     segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null")).otherwise(
         F.concat(F.when(ck % 2 == 0, "C").otherwise("F"), (ck % 4 + 1).cast("string")))

@@ -2,7 +2,7 @@
 
 The values below are fixed: they must equal the case studies' own lookup rows for the
 analytics to mean the same thing (plan prices, pizza recipes and toppings, event names).
-Every table here has a fixed, known row count, so broadcasting it is always safe.
+They are inline ``VALUES``, whose size Spark knows, so it broadcasts them without a hint.
 """
 
 from __future__ import annotations
@@ -52,23 +52,23 @@ def _values_sql(rows, cols) -> str:
 
 
 def pizza_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PIZZA_NAMES, "pizza_id long, pizza_name string")
+    return spark.sql(SQL["pizza_names"])
 
 
 def pizza_recipes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PIZZA_RECIPES, "pizza_id long, toppings string")
+    return spark.sql(SQL["pizza_recipes"])
 
 
 def pizza_toppings(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PIZZA_TOPPINGS, "topping_id long, topping_name string")
+    return spark.sql(SQL["pizza_toppings"])
 
 
 def plans(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PLANS, "plan_id long, plan_name string, price decimal(5,2)")
+    return spark.sql(SQL["plan_catalog"])
 
 
 def event_identifier(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_NAMES, "event_type long, event_name string")
+    return spark.sql(SQL["click_event_identifier"])
 
 
 def page_hierarchy(events: DataFrame) -> DataFrame:

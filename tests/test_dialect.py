@@ -105,3 +105,9 @@ def test_week_rules_agree_with_duckdb_twins_on_random_dates(spark):
     # the text round trip used by the weekly view: d/M/yy → date
     txt = df.select("d", F.date_format("d", "d/M/yy").alias("s")).select("d", D.tsql_date_dmy("s").alias("back"))
     assert all(r["d"] == r["back"] for r in txt.collect() if 1950 <= r["d"].year <= 2049)
+
+
+def test_iso_week_and_time_of_day(spark):
+    df = spark.sql("SELECT * FROM VALUES (DATE '2021-01-01', TIMESTAMP_NTZ '2021-01-01 09:05:07'), (DATE '2021-01-04', NULL), (DATE '2020-12-31', TIMESTAMP_NTZ '2020-12-31 23:59:59') AS t(d, ts)")
+    got = [tuple(r) for r in df.select(D.iso_week("d"), D.time_of_day("ts")).collect()]
+    assert got == [(53, "09:05:07"), (1, None), (53, "23:59:59")]

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.joins import interval_join
+from tallyspark.operators.joins import interval_join, not_in
 from tallyspark.operators.quantiles import percentile_cont
 from tallyspark.operators.ranking import extreme_rows, rank_by_value
 from tallyspark.operators.running import with_running_total
@@ -46,6 +46,16 @@ def test_null_keys_are_kept(spark):
     assert rows(preceding_sum(one, ["g"], ["d"], ["d"], "one", "n").select("g", "d", "v", "n")) == rows(df.select("g", "d", "v", F.rank().over(w) - 1))
 
 
+def test_not_in_follows_the_null_rule(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, 1)], "id int, k int")
+    rows.createOrReplaceTempView("not_in_rows")
+    for others in ([], [(2,)], [(2,), (2,), (9,)], [(2,), (None,)], [(None,)]):
+        other = spark.createDataFrame(others, "k int")
+        other.createOrReplaceTempView("not_in_others")
+        want = spark.sql("SELECT id FROM not_in_rows WHERE k NOT IN (SELECT k FROM not_in_others)")
+        assert sorted(r["id"] for r in not_in(rows, other, "k").collect()) == sorted(r["id"] for r in want.collect())
+
+
 def test_percentile_cont_matches_numpy(spark):
     rnd = random.Random(7)
     data = [(g, rnd.randint(0, 40)) for g in range(4) for _ in range(rnd.randint(1, 60))]
