@@ -6,8 +6,12 @@ the weights of the interpolation shared too, so an expression that neither class
 nothing. The score is the difference of the two log-likelihoods per word, put through a logistic curve
 that is fitted on labelled documents which the counts haven't seen.
 
-Words and pairs of words are counted in hash tables of fixed size, so the model's size doesn't grow with
-the corpus; the counts do. Contexts are counted by a 64-bit linear counter for each word.
+Words, pairs of words and their distinct contexts are counted exactly, by groupBy on 64-bit hashes of the
+words, and kept as tables in the shared folder. Everything a class knows of a word or pair comes
+down to one number, what an occurrence adds to the difference, so a score is a sum over a document's
+words and pairs joined to one table (hash, added). Its most frequent rows, at most `HEAD`, are
+broadcast and added up while the text is read; a bitmap of fixed size says which others may be in the table, and
+those are joined. Neither bound changes a result: sums are of whole numbers, in units of 1/`UNIT`.
 """
 
 from __future__ import annotations
@@ -16,147 +20,175 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import sigtree
-from tallyspark.llm.common import stored
+from tallyspark.llm.common import row_address, stored
 
-WORDS, PAIRS = 1 << 18, 1 << 20
 #: Absolute discount of a class's distance from the shared counts, see `_discounted`.
 DISCOUNT, SPREAD = 3.0, 0.3
 THRESHOLD = 0.3
-#: Parts in which the tables are summed.
-SLICES = 64
+#: Weight of the shared continuation counts in a word's probability.
+SHARED = 0.02
+#: Rows of the table that are broadcast, at most, and 64-bit words of the bitmap of the others.
+HEAD, BITMAP = 1 << 19, 1 << 20
+#: Units of what an occurrence adds.
+UNIT = 1 << 24
+#: Words after which a task hands on its counts.
+FLUSH = 1 << 20
 _DROP = b".,;:!?\"'()[]*#$%&|<>"
-_TABLES = ("words0", "words1", "pairs0", "pairs1", "before", "after")
 
 
 def word_ids(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of a text's words: letters A-Z lowered, punctuation dropped."""
+    """Hashes of a text's words (letters A-Z lowered, punctuation dropped) and of its pairs."""
     words = (text or b"").lower().translate(None, _DROP).split()
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     h = np.concatenate([sigtree._word_hashes(words[i : i + sigtree.CHUNK_WORDS]) for i in range(0, len(words), sigtree.CHUNK_WORDS)])
-    return h, sigtree._mix(h[:-1] * np.uint64(3) + h[1:])
+    return h, pair_ids(h[:-1], h[1:])
 
 
-def _at(h: np.ndarray, size: int) -> np.ndarray:
-    return (h & np.uint64(size - 1)).astype(np.int64)
+def pair_ids(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return sigtree._mix(first * np.uint64(3) + second)
 
 
-def _bit(h: np.ndarray) -> np.ndarray:
-    return np.uint64(1) << (h >> np.uint64(58))
-
-
-def count_tables(labelled: DataFrame) -> dict[str, np.ndarray]:
-    """Summed tables of all rows of ``labelled`` (text, toxic): by class the words and pairs, over
-    both the counters of words before and after each word."""
+def count_grams(labelled: DataFrame) -> DataFrame:
+    """Documents of ``labelled`` (text, toxic) with each word and pair: ``a``, ``b`` (null for a word) and by
+    class ``n0`` and ``n1``. A long document counts no more than others."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = {k: np.zeros(PAIRS if k[:5] == "pairs" else WORDS, np.uint64 if k in ("before", "after") else np.int64) for k in _TABLES}
+        names = ["a", "b", "n"]
+        words, pairs, size = [], [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for grams in (words, pairs):
+                key, a, b, n = (np.concatenate(x) for x in zip(*grams, strict=True))
+                _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
+                total = np.zeros(len(at), np.int64)
+                np.add.at(total, inverse, n)
+                second = pa.array(b[at].view(np.int64)) if grams is pairs else pa.nulls(len(at), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), second, pa.array(total)], names)
+                grams.clear()
+
         for batch in batches:
             for text, toxic in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h, pair = word_ids(text)
-                # documents with a word or pair, so that a long one counts no more than others
-                t[f"words{toxic}"][np.unique(_at(h, WORDS))] += 1
-                t[f"pairs{toxic}"][np.unique(_at(pair, PAIRS))] += 1
-                np.bitwise_or.at(t["before"], _at(h[1:], WORDS), _bit(h[:-1]))
-                np.bitwise_or.at(t["after"], _at(h[:-1], WORDS), _bit(h[1:]))
-        for k, x in t.items():
-            step = len(x) // SLICES
-            for part in range(SLICES):
-                some = x[part * step : (part + 1) * step]
-                at = np.flatnonzero(some)
-                yield pa.RecordBatch.from_arrays([pa.array([f"{k}/{part:02}"]), pa.array([at.astype(np.uint16 if step <= 65536 else np.uint32).tobytes()], pa.binary()), pa.array([some[at].astype(np.uint64 if k in ("before", "after") else np.uint32).tobytes()], pa.binary())], ["part", "at", "n"])
-
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(part: str, x: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([x.tobytes()], pa.binary())], ["part", "n"])
-
-        now, x = None, None
-        for batch in batches:
-            for part, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                mask = part.startswith(("before", "after"))
-                if part != now:
-                    if now is not None:
-                        yield out(now, x)
-                    now, x = part, np.zeros((PAIRS if part[:5] == "pairs" else WORDS) // SLICES, np.uint64 if mask else np.int64)
-                at = np.frombuffer(at, np.uint16)
-                if mask:
-                    x[at] |= np.frombuffer(n, np.uint64)
-                else:
-                    x[at] += np.frombuffer(n, np.uint32)
-        if now is not None:
-            yield out(now, x)
-
-    found = labelled.select("text", "toxic").mapInArrow(count, "part string, at binary, n binary")
-    parts = found.repartition(SLICES, "part").sortWithinPartitions("part").mapInArrow(add, "part string, n binary").collect()  # fixed size
-    tables = {k: np.zeros(PAIRS if k[:5] == "pairs" else WORDS, np.uint64 if k in ("before", "after") else np.int64) for k in _TABLES}
-    for r in parts:
-        k, part = r["part"].split("/")
-        step = len(tables[k]) // SLICES
-        tables[k][int(part) * step : (int(part) + 1) * step] = np.frombuffer(r["n"], tables[k].dtype)
-    return tables
-
-
-def _linear(mask: np.ndarray) -> np.ndarray:
-    """Distinct values behind 64-bit linear counters."""
-    free = np.maximum(64 - np.bitwise_count(mask).astype(float), 0.5)
-    return -64 * np.log(free / 64)
-
-
-def _discounted(n: list[np.ndarray]) -> list[np.ndarray]:
-    """Counts of both classes, each drawn back to its share of the common count: of the distance
-    from that share, `DISCOUNT` standard deviations and `SPREAD` of the share itself (documents are not
-    independent words) are discounted. What is rare, or as frequent in either class, is left
-    with its share of the common count alone."""
-    total = n[0] + n[1]
-    sums = [max(1.0, float(x.sum())) for x in n]
-    out = []
-    for x, s in zip(n, sums, strict=True):
-        share = total * (s / sum(sums))
-        off = x - share
-        out.append(share + np.sign(off) * np.maximum(np.abs(off) - DISCOUNT * np.sqrt(share + 1) - SPREAD * share, 0.0))
-    return out
-
-
-class Model:
-    """Smoothed word and bigram models of both classes (0 ordinary, 1 toxic)."""
-
-    def __init__(self, t: dict[str, np.ndarray]):
-        contexts = _linear(t["before"]) + 1e-3
-        shared = contexts / contexts.sum()
-        words = [t[f"words{c}"].astype(float) for c in "01"]
-        both = words[0] + words[1]
-        weight = 0.02
-        words = _discounted(words)
-        self.word = [((1 - weight) * (n / n.sum() if n.sum() else shared) + weight * shared).astype(np.float32) for n in words]
-        self.back = np.clip(0.75 * _linear(t["after"]) / np.maximum(both, 1), 0.2, 1).astype(np.float32)
-        pairs = [t[f"pairs{c}"].astype(float) for c in "01"]
-        seen = pairs[0] + pairs[1]
+                one = np.unique(h)
+                both, at = np.unique(pair, return_index=True)
+                unit = 1 << (32 * toxic)  # ordinary documents in the low half
+                words.append((one, one, one, np.full(len(one), unit, np.int64)))
+                pairs.append((both, h[at], h[at + 1] if len(at) else h[:0], np.full(len(both), unit, np.int64)))
+                if (size := size + len(h)) >= FLUSH:
+                    yield from out()
+                    size = 0
+        if words:
+            yield from out()
+
+    found = labelled.select("text", "toxic").mapInArrow(count, "a long, b long, n long")
+    n0, n1 = F.expr("n & 4294967295L"), F.expr("shiftrightunsigned(n, 32)")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n")).select("a", "b", n0.alias("n0"), n1.alias("n1"))
+
+
+def _discounted(sums: tuple[float, float]) -> tuple[list[Column], Column]:
+    """Counts ``n0`` and ``n1`` of both classes, each drawn back to its share of the common count: of the
+    distance from that share, `DISCOUNT` standard deviations and `SPREAD` of the share itself
+    (documents are not independent words) are discounted. What is rare, or as frequent in either
+    class, is left with its share of the common count alone. Also whether more is left of either."""
+    out, left = [], F.lit(False)
+    for c in (0, 1):
+        share = (F.col("n0") + F.col("n1")) * (sums[c] / sum(sums))
+        off = F.col(f"n{c}") - share
+        more = F.greatest(F.abs(off) - DISCOUNT * F.sqrt(share + 1) - SPREAD * share, F.lit(0.0))
+        out.append(share + F.signum(off) * more)
+        left = left | (more > 0)
+    return out, left
+
+
+def added(grams: DataFrame) -> DataFrame:
+    """What an occurrence of a word or pair adds to the toxic minus ordinary log-likelihood: ``h`` (hash), ``n``
+    (documents) and ``v`` (in units). Empty when a class has no words: nothing is known then."""
+    spark = grams.sparkSession
+    words, pairs = grams.where("b is null"), grams.where("b is not null")
+    both = [F.coalesce(F.sum(f"n{c}"), F.lit(0)).cast("double").alias(f"n{c}") for c in (0, 1)]
+    s, t = tuple(words.agg(*both).first()), tuple(pairs.agg(*both).first())
+    if not min(s):
+        return spark.createDataFrame([], "h long, n long, v long")
+    # distinct words after and before each word, over both classes
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("h"), F.lit(1).alias("after"), F.lit(0).alias("before")), F.struct(F.col("b").alias("h"), F.lit(0).alias("after"), F.lit(1).alias("before")))).alias("e")).select("e.*")
+    ends = ends.groupBy("h").agg(F.sum("after").alias("after"), F.sum("before").alias("before"))
+    own, _ = _discounted(s)
+    known = words.select(F.col("a").alias("h"), (F.col("n0") + F.col("n1")).alias("n"), own[0].alias("f0"), own[1].alias("f1")).join(ends, "h", "left")
+    known = stored(known.withColumns({"after": F.coalesce("after", F.lit(0)), "before": F.coalesce("before", F.lit(0)) + 1e-3}), "known")
+    f0, f1, contexts = known.agg(F.sum("f0"), F.sum("f1"), F.sum("before")).first()
+    shared = SHARED * F.col("before") / contexts
+    p = [(1 - SHARED) * F.col(f"f{c}") / total + shared for c, total in ((0, f0), (1, f1))]
+    back = F.greatest(F.least(0.75 * F.col("after") / F.col("n"), F.lit(1.0)), F.lit(0.2))
+    lexicon = stored(known.select("h", "n", p[0].alias("p0"), p[1].alias("p1"), F.log(p[1] / p[0]).alias("d"), back.alias("back"), F.greatest("f0", F.lit(1.0)).alias("f0"), F.greatest("f1", F.lit(1.0)).alias("f1")), "lexicon")
+    one = lexicon.select("h", "n", "d")
+    if min(t):
         # a pair that is rare or alike in both classes is left to the words
-        new = _discounted(pairs)
-        share = [seen * (p.sum() / max(1.0, seen.sum())) for p in pairs]
-        self.pair = [np.where(new[0] + new[1] == 0, 0, p).astype(np.float32) for p in new]
-        self.known = (np.abs(new[1] - share[1]) > 0) | (np.abs(new[0] - share[0]) > 0)
-        self.first = [np.maximum(n, 1).astype(np.float32) for n in words]
-
-    def difference(self, text: bytes | None) -> float:
-        """Toxic minus ordinary log-likelihood per word; 0 for a text without words."""
-        h, pair = word_ids(text)
-        if not len(h):
-            return 0.0
-        w, p = _at(h, WORDS), _at(pair, PAIRS)
-        back = self.back[w[:-1]]
-        known = self.known[p]
-        out = []
-        for c in (0, 1):
-            word = self.word[c][w].astype(float)
-            own = np.minimum(self.pair[c][p] / self.first[c][w[:-1]], 1.0)
-            word[1:] = np.where(known, (1 - back) * own + back * word[1:], word[1:])
-            out.append(np.log(word).sum())
-        return float(out[1] - out[0]) / len(h)
+        own, left = _discounted(t)
+        some = pairs.where(left).select("a", "b", (F.col("n0") + F.col("n1")).alias("n"), own[0].alias("g0"), own[1].alias("g1"))
+        some = some.join(lexicon.select(F.col("h").alias("a"), "back", "f0", "f1"), "a").join(lexicon.select(F.col("h").alias("b"), "p0", "p1", "d"), "b")
+        q = [(1 - F.col("back")) * F.least(F.col(f"g{c}") / F.col(f"f{c}"), F.lit(1.0)) + F.col("back") * F.col(f"p{c}") for c in (0, 1)]
+
+        def name(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                a, b = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(pair_ids(a, b).view(np.int64)), batch.column(2), batch.column(3)], ["h", "n", "d"])
+
+        two = some.select("a", "b", "n", (F.log(q[1] / q[0]) - F.col("d")).alias("d")).mapInArrow(name, "h long, n long, d double")
+        one = one.unionByName(two)
+    return stored(one.groupBy("h").agg(F.max("n").alias("n"), F.sum(F.round(F.col("d") * UNIT).cast("long")).alias("v")), "added")
+
+
+def differences(rows: DataFrame, table: DataFrame, head: int = HEAD) -> DataFrame:
+    """``rows`` (doc_id, text) as doc_id and ``difference``: toxic minus ordinary log-likelihood per word; 0
+    for a text without words."""
+    level = F.floor(F.log2("n")).cast("int")
+    steps = {r["level"]: r["count"] for r in table.groupBy(level.alias("level")).count().collect()}  # at most 33 rows
+    least, left = 64, head
+    while least > 0 and steps.get(least - 1, 0) <= left:
+        least -= 1
+        left -= steps.get(least, 0)
+    top = table.where(level >= least).select("h", "v").toArrow()  # at most ``head`` rows
+    order = np.argsort(top["h"].to_numpy())
+    keys, values = top["h"].to_numpy()[order], top["v"].to_numpy()[order]
+    rest = table.where(level < least).select("h", "v") if least else None
+    bits = np.zeros(BITMAP, np.int64)
+    if rest is not None:
+        set_bits = rest.groupBy(F.expr(f"shiftrightunsigned(h, 6) & {BITMAP - 1}L").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63L as int))")).alias("m")).toArrow()  # at most BITMAP rows
+        bits[set_bits["at"].to_numpy()] = set_bits["m"].to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast((keys, values, bits))
+    schema = rows.drop("text").withColumns({"sum": F.lit(0).cast("long"), "words": F.lit(0).cast("long"), "rest": F.lit(None).cast("array<struct<h: bigint, k: bigint>>")}).schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values, bits = sent.value
+        pairs = pa.struct([("h", pa.int64()), ("k", pa.int64())])
+        for batch in batches:
+            sums, sizes, ends, hs, ks = [], [], [0], [], []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                h, pair = word_ids(text)
+                u, n = np.unique(np.concatenate([h, pair]).view(np.int64), return_counts=True)
+                at = np.minimum(np.searchsorted(keys, u), max(0, len(keys) - 1))
+                hit = keys[at] == u if len(keys) else np.zeros(len(u), bool)
+                sums.append(int((values[at[hit]] * n[hit]).sum()))
+                sizes.append(len(h))
+                u, n = u[~hit], n[~hit]
+                may = (bits[(u >> 6) & (BITMAP - 1)] >> (u & 63)) & 1 == 1
+                hs.append(u[may])
+                ks.append(n[may])
+                ends.append(ends[-1] + len(hs[-1]))
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate([*hs, np.empty(0, np.int64)])), pa.array(np.concatenate([*ks, np.empty(0, np.int64)]))], fields=list(pairs))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], schema.names)
+
+    out = stored(rows.mapInArrow(run, schema), "sums")
+    if rest is not None:
+        out = row_address(out)
+        more = out.select("__file", "__row", F.explode("rest").alias("r")).join(rest, F.col("r.h") == F.col("h")).groupBy("__file", "__row").agg(F.sum(F.col("r.k") * F.col("v")).alias("more"))
+        out = out.join(more, ["__file", "__row"], "left").withColumn("sum", F.col("sum") + F.coalesce("more", F.lit(0)))
+    return out.select("doc_id", (F.col("sum") / UNIT / F.greatest("words", F.lit(1))).alias("difference"))
 
 
 def _calibrate(bins: list, width: float) -> tuple[float, float]:
@@ -190,24 +222,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     labelled rows with remainder 0 or 1, the logistic curve from all with remainder 3. Labels,
     language, source and key are no inputs of a score. A null or empty text has score of
     difference 0; a null key is held out of learning and has ``held_out`` false. With labels of one class
-    only, the curve stays at its start. Only the named columns are read.
+    only nothing is known, every difference is 0 and the curve stays at its start. Only the named columns are read.
     """
     mod = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     known = labels.select(F.col(key).alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(mod != 2)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     learn = rows.where(mod < 2).join(known.where(mod < 2).hint("shuffle_hash"), "doc_id").select("text", "toxic")
-    model = Model(count_tables(learn))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = rows.drop("text").withColumn("difference", F.lit(0.0)).schema
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for batch in batches:
-            d = [model.difference(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(d, pa.float64())], schema.names)
-
-    scored = stored(rows.mapInArrow(run, schema), "toxicity")
+    scored = stored(differences(rows, added(stored(count_grams(learn), "grams"))), "toxicity")
     width = 0.002
     bins = scored.where(mod == 3).join(known, "doc_id").groupBy(F.round(F.greatest(F.least(F.col("difference"), F.lit(4.0)), F.lit(-4.0)) / width).alias("bin"), "toxic").count().collect()  # at most 2 * 4001 rows
     a, b = _calibrate(bins, width)
