@@ -21,6 +21,8 @@ SAMPLE_ROWS = 10_000
 #: Hashed features, passes over the sample, and the least score of a kept document.
 FEATURES, EPOCHS, THRESHOLD = 1 << 16, 3, 0.5
 CHUNK = 1 << 20
+#: Least words of a window in which repetition is judged (fewer only if the text has no more).
+WINDOW = 200
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -36,6 +38,14 @@ _DIGIT[48:58] = True
 LABELLERS = ("symbols", "capitals", "length", "lines", "words", "digits", "stops")
 
 
+def distinct_share(words: list[bytes]) -> float:
+    """Share of distinct words, the mean over consecutive windows of `WINDOW` to twice as many words, so that
+    it means the same at every length."""
+    k = max(1, len(words) // WINDOW)
+    cuts = [len(words) * i // k for i in range(k + 1)]
+    return sum(len(set(words[a:b])) / max(1, b - a) for a, b in zip(cuts, cuts[1:], strict=False)) / k
+
+
 def votes(text: bytes) -> list[int]:
     """Votes of the labellers: 0 none, 1 bad, 2 good."""
     raw = np.frombuffer(text, np.uint8)
@@ -49,7 +59,7 @@ def votes(text: bytes) -> list[int]:
 
     symbol, capital, digit = (float(m[raw].sum()) for m in (_SYMBOL, _UPPER, _DIGIT))
     repeated = 1 - len(set(lines)) / max(1, len(lines))
-    distinct = len(set(words)) / max(1, len(words)) if len(words) < 400 else 1.0
+    distinct = distinct_share(words)
     mean = sum(map(len, words)) / max(1, len(words))
     stops = sum(w.endswith((b".", b"!", b"?")) for w in lines) / max(1, len(lines))
     return [

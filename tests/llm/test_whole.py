@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.llm import toxicity
+from tallyspark.llm import quality, toxicity
 from tallyspark.llm.common import importable
 
 
@@ -58,3 +58,19 @@ def test_toxicity_of_one_class(spark):
     importable(spark)
     frame = spark.createDataFrame([(1, "some words here", 0)], "doc_id long, text string, toxic int")
     assert toxicity.added(toxicity.count_grams(frame)).count() == 0
+
+
+# ---- 2
+@pytest.mark.parametrize("n", [100, 399, 400, 784, 5_000])
+def test_repetition_is_judged_at_every_length(n):
+    once = quality.LABELLERS.index("words")
+    assert quality.votes(b" ".join([b"buy it now"] * (n // 3)))[once] == 1
+    assert quality.votes(b" ".join(b"w%d" % (i * 7919 % 997) for i in range(n)))[once] == 2
+
+
+def test_few_bad_documents_score_as_good(spark):
+    importable(spark)
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.quality_scores(docs).join(labels, "doc_id").groupBy("quality").agg(F.avg("predicted").alias("p")).collect()
+    share = {r["quality"]: r["p"] for r in found}
+    assert share[1] > 0.985 and share[0] < 0.58
