@@ -7,6 +7,8 @@ Parquet to the shared folder and reads it again as the next one's input.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +17,26 @@ from tallyspark.llm import bpe, dedup, mixing, ngram, rules
 from tallyspark.llm.common import row_address, rows_at, stored, table
 
 
+def _kept(docs: DataFrame, operator: Callable[..., DataFrame]) -> DataFrame:
+    """The rows that the operator keeps; it and the join back see the same addresses."""
+    placed = row_address(docs)
+    return rows_at(placed, operator(placed, placed=True).where("kept"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    return rows_at(docs, rules.quality_rules(docs).where("kept"))
+    return _kept(docs, rules.quality_rules)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal normalised texts one row stays."""
-    return rows_at(docs, dedup.exact_dedup(docs).where("kept"))
+    return _kept(docs, dedup.exact_dedup)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays; documents
     without words are in no group."""
-    return rows_at(docs, ngram.jaccard_groups(docs).where("kept"))
+    return _kept(docs, ngram.jaccard_groups)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

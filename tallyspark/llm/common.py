@@ -5,8 +5,7 @@ from __future__ import annotations
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyspark.session import ensure_checkpoint_dir
 
@@ -39,12 +38,24 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether each row of the frame is one row of its Parquet files: selections and filters only, no
+    join, explode, union or random choice."""
+    node = docs._jdf.queryExecution().analyzed()
+    while (name := node.nodeName()) != "LogicalRelation":
+        if name not in ("Project", "Filter", "SubqueryAlias", "View") or not node.deterministic():
+            return False
+        node = node.children().head()
+    return True
+
+
 def row_address(docs: DataFrame) -> DataFrame:
     """The frame with ``__file`` and ``__row``, where each row lies in the files it is read from.
 
-    A frame that isn't read straight from Parquet files is written to the shared folder first.
+    A frame that isn't read straight from Parquet files is written to the shared folder first, anew
+    in each call, so addresses of two calls aren't comparable: take them once and hand them on (see `placed_rows`).
     """
-    if "_metadata" not in docs.columns:
+    if "_metadata" not in docs.columns and _plain_scan(docs):
         try:
             meta = docs.metadataColumn("_metadata")
             out = docs.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row"))
@@ -58,7 +69,11 @@ def row_address(docs: DataFrame) -> DataFrame:
     return hidden.select("*", meta["file_path"].alias("__file"), meta["row_index"].alias("__row")).withColumnRenamed("__metadata", "_metadata")
 
 
-def rows_at(docs: DataFrame, report: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose addresses are in ``report``, with their own columns."""
-    placed = row_address(docs)
-    return placed.join(report.select("__file", "__row"), ["__file", "__row"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+def placed_rows(docs: DataFrame, *columns: Column, placed: bool = False) -> DataFrame:
+    """The columns with ``__file`` and ``__row``: new addresses, or those that ``docs`` has (``placed``)."""
+    return docs.select(*columns, "__file", "__row") if placed else row_address(docs.select(*columns))
+
+
+def rows_at(placed: DataFrame, report: DataFrame) -> DataFrame:
+    """The rows of ``placed`` (from `row_address`) whose addresses are in ``report``, without the addresses."""
+    return placed.join(report.select("__file", "__row"), ["__file", "__row"], "left_semi").drop("__file", "__row")

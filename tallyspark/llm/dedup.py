@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import SPACES, row_address, shared_path, stored
+from tallyspark.llm.common import SPACES, placed_rows, shared_path, stored
 
 #: Files of the key table that one micro-batch takes.
 FILES_PER_BATCH = 4096
@@ -69,7 +69,7 @@ def state_of(spark, checkpoint: str) -> DataFrame:
     return state.select(F.col("key")[state.schema["key"].dataType.names[0]].alias("digest"), F.col("value")[count].alias("n"), F.col("value")[best].alias("best"))
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: Callable[[Column], Column] = sha256, files_per_batch: int = FILES_PER_BATCH, placed: bool = False) -> DataFrame:
     """One row per row of ``docs``, repeated rows too: the key column, ``__file`` and ``__row`` (its
     address), ``keep_id``, ``group_size``, ``kept`` and ``digest``.
 
@@ -79,9 +79,11 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     Only the two columns are read, so other columns of any name don't matter. An empty table
     gives an empty result. ``digest`` maps the normalised text to a key; its collisions are found
     by the comparison of the full texts and change nothing.
+
+    With ``placed``, ``docs`` has the addresses already (``__file`` and ``__row`` of `row_address`).
     """
     spark = docs.sparkSession
-    rows = row_address(docs.select(F.col(key).alias("id"), F.col(text).alias("text")))
+    rows = placed_rows(docs, F.col(key).alias("id"), F.col(text).alias("text"), placed=placed)
     plain = normalised(F.col("text"))
     path = shared_path(spark, "keys")
     rows.select(digest(plain).alias("digest"), "id", F.length(F.coalesce("text", F.lit(""))).alias("size"), F.col("__file").alias("file"), F.col("__row").alias("row")).write.parquet(path)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.llm import sigtree
-from tallyspark.llm.common import row_address, stored
+from tallyspark.llm.common import placed_rows, stored
 from tallyspark.llm.components import components
 
 #: Sets of a block, about.
@@ -317,7 +317,7 @@ def _blocks_of(n: Column) -> Column:
     return F.when(n <= BLOCK, F.lit(1)).otherwise(F.ceil(n * 2 / BLOCK)).cast("long")
 
 
-def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4) -> DataFrame:
+def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 3, den: int = 4, placed: bool = False) -> DataFrame:
     """One row per row of ``docs``, repeated rows too: the key column, ``__file`` and ``__row`` (its
     address), ``n_shingles``, ``component_id`` (smallest key reachable by links of similarity
     num/den or more, itself included), ``group_size`` and ``kept`` (true for one row of each group: the
@@ -326,8 +326,10 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     A text without words (null, empty, blank) has an empty set, is linked with nothing and is
     its own group. Equal sets are linked whatever their order. Only the two columns are read, so other
     columns of any name don't matter. An empty table gives an empty result.
+
+    With ``placed``, ``docs`` has the addresses already (``__file`` and ``__row`` of `row_address`).
     """
-    rows = row_address(docs.select(F.col(key).alias("id"), F.col(text).alias("text")))
+    rows = placed_rows(docs, F.col(key).alias("id"), F.col(text).alias("text"), placed=placed)
     sets = stored(set_table(rows, width), "sets")
     maps, sets = sets, sets.drop("map")
     tokens = sets.agg(F.sum("n")).first()[0] or 0

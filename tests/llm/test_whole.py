@@ -7,8 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyspark.llm import quality, toxicity
 from tallyspark.llm.common import importable
+from tests.llm.conftest import SCHEMA
 
 
 # ---- 10
@@ -74,3 +76,31 @@ def test_few_bad_documents_score_as_good(spark):
     found = quality.quality_scores(docs).join(labels, "doc_id").groupBy("quality").agg(F.avg("predicted").alias("p")).collect()
     share = {r["quality"]: r["p"] for r in found}
     assert share[1] > 0.985 and share[0] < 0.58
+
+
+# ---- pipeline
+def prose_rows(rnd, n, lang="en"):
+    """Clean documents, each of its own words."""
+    return [(i, " ".join(f"{w} word{rnd.randint(0, 10**6)}" for w in ("the of and to in is that it as for " * 8).split()) + ".", lang, "s", 1) for i in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["memory", "union", "metadata", "exploded"])
+def test_stages_keep_rows_of_any_frame(spark, tmp_path, kind):
+    """Clean documents pass, and one of each three equal rows stays, wherever the frame comes from."""
+    importable(spark)
+    clean = prose_rows(random.Random(1), 24)
+    rows = spark.createDataFrame(clean * 3, SCHEMA)
+    if kind != "memory":
+        (rows.withColumn("_metadata", F.lit("own")) if kind == "metadata" else rows).write.parquet(str(tmp_path / "docs"))
+        rows = spark.read.parquet(str(tmp_path / "docs"))
+    if kind == "union":
+        rows = rows.unionByName(rows)
+    if kind == "exploded":  # several rows of one address
+        rows = rows.withColumn("again", F.explode(F.array(F.lit(1), F.lit(2)))).drop("again")
+    total = rows.count()
+    kept = corpus_pipeline.quality(spark, rows, "")
+    assert kept.columns == rows.columns and kept.count() == total
+    for stage in (corpus_pipeline.exact, corpus_pipeline.near):
+        out = stage(spark, rows, "")
+        assert out.columns == rows.columns
+        assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == list(range(24))
