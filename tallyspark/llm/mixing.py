@@ -6,25 +6,32 @@ is released at slot floor((k - 1) / w) and must lie before its deadline ceil(k /
 first among the released blocks meets every deadline on one line of slots whose weights sum to 1.
 After any number t of slots a source then has more than t*w - 1 and fewer than t*w + 1 blocks.
 
-Weights are rounded to whole parts of `PARTS`, so the schedule repeats every `PARTS` slots: one period
-of it is laid out in plain Python (a bounded table, whatever the data), and Spark places block k of
-a source in period (k - 1) div parts. Every document is used: the mixture has as many periods as the
-source that needs most, and sources that need fewer start again, as epochs 1, 2, ... of the
-same blocks.
+Releases and deadlines come from the exact weights, as whole numbers, so the deviation stays under
+one block whatever the number of slots and sources. One task lays out the table of slots (one row
+per block and epoch, not per document), with a heap of one entry per source, and streams it to the
+shared folder; Spark joins the documents to it by source and block. Every document is used: the
+mixture ends with the last deadline of the source that needs most slots, and sources that need
+fewer start again, as epochs 1, 2, ... of the same blocks.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
+import math
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import stored
+from tallyspark.llm.common import importable, stored
 
-#: Slots of a period; a weight is a whole number of parts of it.
+#: Slots of a period of weights that are rounded by `whole_parts`; `mix` rounds none.
 PARTS = 1000
+#: Slots of the schedule that are written at a time.
+SLOT_ROWS = 50_000
 #: Code points of a block.
 BLOCK_CHARS = 100_000
 #: Default weights are the sources' sizes to this power.
@@ -53,22 +60,51 @@ def whole_parts(weights: dict, parts: int = PARTS) -> dict:
     return out
 
 
-def period(parts: dict, size: int = PARTS) -> list[tuple]:
-    """(source, slot, ordinal of its block within the period from 0) of every slot of a period."""
-    waiting = sorted(((0, i, s, 0) for i, s in enumerate(sorted(parts, key=str))), key=lambda x: x[:2])
+def exact_weights(weights: dict) -> dict:
+    """Weights as whole numbers in exactly the same proportions."""
+    if any(w is None or not w > 0 for w in weights.values()):
+        raise ValueError("a target weight must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    unit = math.lcm(*(x.denominator for x in exact.values()))
+    return {s: x.numerator * (unit // x.denominator) for s, x in exact.items()}
+
+
+def schedule(parts: dict, slots: int) -> Iterator[tuple]:
+    """(source, slot, ordinal of the source's block from 0) of the first ``slots`` slots, for whole weights."""
+    size = sum(parts.values())
+    waiting = [(0, i, s, 0) for i, s in enumerate(sorted(parts, key=lambda s: (s is not None, str(s))))]
     heapq.heapify(waiting)
     ready: list = []
-    out = []
-    for slot in range(size):
+    for slot in range(slots):
         while waiting and waiting[0][0] <= slot:
             _, i, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(k + 1) * size // parts[s]), i, k, s))
         deadline, i, k, s = heapq.heappop(ready)
         assert slot < deadline
-        out.append((s, slot, k))
-        if k + 1 < parts[s]:
-            heapq.heappush(waiting, ((k + 1) * size // parts[s], i, s, k + 1))
-    return out
+        yield s, slot, k
+        heapq.heappush(waiting, ((k + 1) * size // parts[s], i, s, k + 1))
+
+
+def period(parts: dict, size: int = PARTS) -> list[tuple]:
+    """The schedule of weights that sum to ``size``, up to where it repeats."""
+    return list(schedule(parts, size))
+
+
+def slot_table(spark: SparkSession, share: dict, n_blocks: dict, slots: int) -> DataFrame:
+    """The schedule as a table: ``p_source``, ``p_block``, ``p_epoch`` and ``p_slot``."""
+    sent = spark.sparkContext.broadcast((share, n_blocks))
+
+    def lay(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, n_blocks = sent.value
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                rows = schedule(share, slots)
+                while some := list(itertools.islice(rows, SLOT_ROWS)):
+                    names, at, k = zip(*some, strict=True)
+                    turns = [divmod(x, n_blocks[s]) for x, s in zip(k, names, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([t[1] for t in turns], pa.int64()), pa.array([t[0] for t in turns], pa.int64()), pa.array(at, pa.int64())], ["p_source", "p_block", "p_epoch", "p_slot"])
+
+    return stored(spark.range(1, numPartitions=1).mapInArrow(lay, "p_source string, p_block long, p_epoch long, p_slot long"), "schedule")
 
 
 def blocks(docs: DataFrame, keep: list[str], source: str, text: str, block_chars: int) -> DataFrame:
@@ -89,7 +125,7 @@ def blocks(docs: DataFrame, keep: list[str], source: str, text: str, block_chars
     return rows.select(*keep, "__s", "__n", chars.alias("__chars"), place.alias("__at")).withColumn("__block", F.floor(F.col("__chars") / block_chars)).drop("__chars")
 
 
-def mix(docs: DataFrame, weights: dict | None = None, keep: list[str] | None = None, source: str = "source", text: str = "text", block_chars: int = BLOCK_CHARS, parts: int = PARTS) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, keep: list[str] | None = None, source: str = "source", text: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Place every document in the mixture: ``keep`` columns (default ``doc_id``), ``source``,
     ``block`` (of its source, from 0), ``slot``, ``epoch`` (0 for the first use) and ``place`` (order
     within the source). Every row has one row of epoch 0, repeated rows too, and one for each
@@ -99,31 +135,24 @@ def mix(docs: DataFrame, weights: dict | None = None, keep: list[str] | None = N
     source; by default they are the sources' total code points to the power `TEMPERATURE`. A null or
     empty text counts as one code point, so it takes a place. A document that is longer
     than a block starts one and is not cut; block numbers that it covers stay in the schedule as
-    its slots. An empty table gives an empty result. Needs no more than ``parts`` sources.
+    its slots. An empty table gives an empty result. The driver and one task hold one entry per source.
     """
     keep = keep or ["doc_id"]
     spark = docs.sparkSession
+    importable(spark)
     held = [f"__k{i}" for i in range(len(keep))]
     rows = docs.select(*[F.col(c).alias(h) for c, h in zip(keep, held, strict=True)], F.col(source).alias("__source"), F.col(text).alias("__text"))
     cut = stored(blocks(rows, held, "__source", "__text", block_chars), "blocks")
-    # one row per source: at most ``parts`` of them, or whole_parts() refuses
-    sizes = {r["__s"]: r for r in cut.groupBy("__s").agg(F.sum("__n").alias("chars"), (F.max("__block") + 1).alias("blocks"), F.ceil(F.sum("__n") / block_chars).alias("whole")).limit(parts + 1).collect()}
+    # one row per source, as in ``weights``
+    sizes = {r["__s"]: r for r in cut.groupBy("__s").agg(F.sum("__n").alias("chars"), (F.max("__block") + 1).alias("blocks"), F.ceil(F.sum("__n") / block_chars).alias("whole")).collect()}
     n_blocks = {s: max(r["blocks"], r["whole"]) for s, r in sizes.items()}
     if weights is None:
         weights = {s: float(r["chars"]) ** TEMPERATURE for s, r in sizes.items()}
     if missing := set(sizes) - set(weights):
         raise ValueError(f"no target weight for {sorted(map(str, missing))[:5]}")
-    share = whole_parts({s: w for s, w in weights.items() if s in sizes}, parts)
-    slots = max((-(-n_blocks[s] * parts // share[s]) for s in sizes), default=0)
-    table = period(share, parts) if share else []
-    plan = spark.createDataFrame([(s, share[s], k, slot, n_blocks[s]) for s, slot, k in table], "p_source string, p_parts long, p_k long, p_slot long, p_blocks long")
-    # how often block b of a source is used within the first ``slots`` slots
-    uses = cut.select("*").join(F.broadcast(plan.select("p_source", "p_parts", "p_blocks").distinct()), F.col("__s").eqNullSafe(F.col("p_source")))
-    most = F.ceil(F.lit(slots) / F.lit(parts)) * F.col("p_parts")
-    last = F.floor((most - 1 - F.col("__block")) / F.col("p_blocks"))
-    uses = uses.withColumn("__epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0)).cast("long"))))
-    uses = uses.withColumn("__turn", F.col("__epoch") * F.col("p_blocks") + F.col("__block")).drop("p_source", "p_blocks")
-    uses = uses.withColumn("__k", F.col("__turn") % F.col("p_parts")).withColumn("__period", F.floor(F.col("__turn") / F.col("p_parts"))).drop("p_parts")
-    out = uses.join(F.broadcast(plan), F.col("__s").eqNullSafe(F.col("p_source")) & (F.col("__k") == F.col("p_k")))
-    out = out.withColumn("__slot", F.col("__period") * parts + F.col("p_slot")).where((F.col("__epoch") == 0) | (F.col("__slot") < slots))
-    return out.select(*[F.col(h).alias(c) for c, h in zip(keep, held, strict=True)], F.col("__s").alias("source"), F.col("__block").alias("block"), F.col("__slot").alias("slot"), F.col("__epoch").alias("epoch"), F.col("__at").alias("place"))
+    share = exact_weights({s: w for s, w in weights.items() if s in sizes})
+    # the deadline of the last block of the source that needs most
+    slots = max((-(-n_blocks[s] * sum(share.values()) // share[s]) for s in sizes), default=0)
+    plan = slot_table(spark, share, n_blocks, slots)
+    out = cut.join(plan, F.col("__s").eqNullSafe(F.col("p_source")) & (F.col("__block") == F.col("p_block")))
+    return out.select(*[F.col(h).alias(c) for c, h in zip(keep, held, strict=True)], F.col("__s").alias("source"), F.col("__block").alias("block"), F.col("p_slot").alias("slot"), F.col("p_epoch").alias("epoch"), F.col("__at").alias("place"))

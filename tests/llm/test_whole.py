@@ -2,13 +2,14 @@
 
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyspark.llm import quality, toxicity
+from tallyspark.llm import mixing, quality, toxicity
 from tallyspark.llm.common import importable
 from tests.llm.conftest import SCHEMA
 
@@ -104,3 +105,28 @@ def test_stages_keep_rows_of_any_frame(spark, tmp_path, kind):
         out = stage(spark, rows, "")
         assert out.columns == rows.columns
         assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == list(range(24))
+
+
+# ---- 4
+@pytest.mark.parametrize("weights", [{"a": 0.0015, "b": 0.0001, "c": 0.9984}, {"a": 1 / 3, "b": 0.2, None: 0.123}, {i: (i + 1) ** 0.7 for i in range(1500)}])
+def test_schedule_follows_the_asked_weights(weights):
+    share, total, slots = mixing.exact_weights(weights), sum(map(Fraction, weights.values())), 20_000
+    done: Counter = Counter()
+    for s, slot, k in mixing.schedule(share, slots):
+        assert done[s] == k
+        done[s] += 1
+        assert abs(done[s] - (slot + 1) * Fraction(weights[s]) / total) < 1
+        if slot % 997 == 0:
+            assert all(abs(done[x] - (slot + 1) * Fraction(w) / total) < 1 for x, w in weights.items())
+
+
+def test_mix_of_small_weights_and_many_sources(spark):
+    weights = {"a": 0.0015, "b": 0.0001, None: 0.9984}
+    rows = [(i, "x" * 10, "en", s, 10) for s, n in (("a", 9), ("b", 2), (None, 3000)) for i in range(n)]
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights, block_chars=10).select("source", "slot").collect()
+    slots = 20_000  # the second block of b must lie before slot 2 / 0.0001
+    assert sorted(r["slot"] for r in out) == list(range(slots))
+    done = Counter(r["source"] for r in out)
+    assert all(abs(done[s] - w * slots) < 1 for s, w in weights.items())
+    many = spark.createDataFrame([(i, "x" * 10, "en", f"site{i}", 10) for i in range(1200)], SCHEMA)
+    assert mixing.mix(many, block_chars=10).where("epoch = 0").count() == 1200
