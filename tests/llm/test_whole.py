@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyspark.llm import mixing, quality, toxicity
+from tallyspark.llm import mixing, quality, rules, toxicity
 from tallyspark.llm.common import importable
 from tests.llm.conftest import SCHEMA
 
@@ -130,3 +130,29 @@ def test_mix_of_small_weights_and_many_sources(spark):
     assert all(abs(done[s] - w * slots) < 1 for s, w in weights.items())
     many = spark.createDataFrame([(i, "x" * 10, "en", f"site{i}", 10) for i in range(1200)], SCHEMA)
     assert mixing.mix(many, block_chars=10).where("epoch = 0").count() == 1200
+
+
+# ---- 8
+def test_pool_covers_documents_of_every_language(spark):
+    """A junk group of null language isn't its own reference; rare clean documents aren't held against it."""
+    importable(spark)
+    rnd = random.Random(2)
+    junk = [(1000 + i, " ".join(f"{w} {rnd.choice('bcdfgh')}{rnd.randint(0, 10**6)}" for w in ["zzz", "qqx", "kkk"] * 30), None, "s", 1) for i in range(20)]
+    rows = prose_rows(rnd, 120) + [(500 + i, *r[1:]) for i, r in enumerate(prose_rows(rnd, 2, "xx"))] + junk
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r for r in rules.quality_rules(frame, max_langs=4).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    # the reference of the pool by plain Python: the common words and their counts in all documents
+    words = Counter(w for _, text, *_ in rows for w in text.split())
+    common = [w for w, _ in sorted(((w, n) for w, n in words.items() if len(w) <= rules.COMMON_CHARS), key=lambda x: (-x[1], x[0]))[: rules.N_COMMON]]
+    q = np.array([*(words[w] for w in common), sum(words.values()) - sum(words[w] for w in common)], float)
+    for i, text, lang, *_ in rows:
+        if lang != "en":
+            own = Counter(text.split())
+            p = np.array([*(own[w] for w in common), sum(own.values()) - sum(own[w] for w in common)], float)
+            a, b = p / p.sum(), q / q.sum()
+            m = (a + b) / 2
+            want = sum((x[x > 0] * np.log2(x[x > 0] / m[x > 0])).sum() / 2 for x in (a, b)) ** 0.5
+            assert got[i]["word_distance"] == pytest.approx(want, abs=1e-9)
+    assert all(not got[r[0]]["kept"] for r in junk)
+    assert all(got[i]["kept"] for i in (500, 501))
