@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, chat, dedup, idfiles, mixing, ngram, piececount, quality, rules, toxicity
+from tallyspark.llm import bpe, chat, dedup, idfiles, mixing, ngram, piececount, quality, repeats, rules, spelling, toxicity, whitening
 from tallyspark.llm.common import table
 
 
@@ -68,6 +68,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the first four components."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of all documents; one in 31 occurrences has a typo."""
+    return spelling.variant_groups(spelling.word_counts(table(spark, sf_dir, "documents"), typo_every=31))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay when repeated windows of 20 words go."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -79,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_spelling": op12_spelling,
+    "op13_repeats": op13_repeats,
 }
 
 SQL: dict[str, str] = {
