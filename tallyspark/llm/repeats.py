@@ -11,9 +11,10 @@ and only anchors at cover positions are hashed.
 3. A word is removed when a marked window covers it.
 
 Both exchanges work alike. A *chunk* of documents settles its own repeats first and sends one entry for
-each hash, so a passage in a third of all rows sends one entry per chunk. Entries travel packed by bucket of the hash;
-buckets grow in number with the text, not in size. The texts are shuffled once by row address;
-the three steps read that exchange.
+each hash, so a passage in a third of all rows sends one entry per chunk. Entries travel packed by bucket of the hash,
+and marked places travel back packed by the *home* of the document, a hash of its row address; buckets and homes
+grow in number with the text, not in size, and no more rows travel than entries. The texts are shuffled once, by home, and
+the second and third step read that exchange.
 """
 
 from __future__ import annotations
@@ -32,14 +33,15 @@ from tallyspark.llm.common import row_address
 
 #: Period of the cover.
 PERIOD = 7
-#: Bytes of text worked on at once and words of a chunk, about (a document is never divided), and words for each bucket.
-SLICE_BYTES, CHUNK_WORDS, BUCKET_WORDS = 4 << 20, 1 << 20, 2 << 20
+#: Bytes of text worked on at once and words of a chunk, about (a document is never divided); words for each bucket and code
+#: points for each home.
+SLICE_BYTES, CHUNK_WORDS, BUCKET_WORDS, HOME_CHARS = 4 << 20, 1 << 20, 2 << 20, 4 << 20
 #: Keys of the two word hashes (SipHash).
 KEYS = ("repeated passage", "difference cover")
 #: A null document id in the order of documents.
 NULL_ID = -(2**63)
 PACKED = "bucket long, docs binary, counts binary, places binary, hashes binary, known binary"
-MARKED = "file long, row long, places binary"
+MARKED = "home long, docs binary, counts binary, places binary"
 
 
 def difference_cover(period: int) -> tuple[int, ...]:
@@ -115,6 +117,17 @@ def _from_planes(b: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _runs(sorted_numbers: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal numbers (0 or more) begins and ends."""
+    edges = [*np.flatnonzero(np.diff(sorted_numbers, prepend=-1)), len(sorted_numbers)]
+    return zip(edges, edges[1:], strict=False)
+
+
+def _doc_rows(part: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Key, address and home of every document."""
+    return np.stack([np.asarray(pc.fill_null(part.column("doc_id"), NULL_ID)), *(np.asarray(part.column(c)) for c in ("file", "row", "home"))])
+
+
 class _Chunk:
     """Entries (document, place, hash lanes) of a chunk of documents."""
 
@@ -129,40 +142,34 @@ class _Chunk:
         self.n_docs += docs.shape[1]
         self.n_words += words
 
-    def packed(self, n_buckets: int, settle: Callable) -> Iterator[pa.RecordBatch]:
+    def packed(self, n_buckets: int, settle: Callable) -> list[dict]:
         """One row for each bucket, and one (with a bucket below 0) of what the chunk itself marks."""
         if not self.n_docs:
-            return
+            return []
         docs = np.concatenate(self.docs, axis=1)
         doc, place, *lanes = (np.concatenate(x) for x in zip(*self.entries, strict=True))
         # documents in their order, so that entries are in the order of (document, place)
-        order = np.lexsort(docs[::-1])
+        order = np.lexsort(docs[:3][::-1])
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         docs, doc = docs[:, order], rank[doc]
         entry = np.lexsort((place, doc))
         doc, place, lanes = doc[entry], place[entry], [x[entry] for x in lanes]
         sent, known, marked = settle(lanes)
-        rows = [self._row(-1 - int(np.uint64(docs[1, 0] ^ docs[2, 0]) % np.uint64(n_buckets)), docs, doc[marked], place[marked], [])]
+        none = {"hashes": b"", "known": b""}
+        own = -1 - int(docs[1, 0] ^ docs[2, 0]) % n_buckets
+        rows = [_packed_row({"bucket": own}, docs, doc[marked], place[marked]) | none] if len(marked) else []
         bucket = (lanes[0][sent] % np.uint64(n_buckets)).astype(np.int64)
         by = np.argsort(bucket, kind="stable")
-        at, where = sent[by], np.flatnonzero(np.diff(bucket[by], prepend=-1))
-        for begin, end in zip(where, [*where[1:], len(by)], strict=True):
-            part = at[begin:end]
-            rows.append(self._row(int(bucket[by[begin]]), docs, doc[part], place[part], [x[part] for x in lanes], known[part]))
-        rows = [r for r in rows if r]
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, PACKED_SCHEMA)
-
-    def _row(self, bucket: int, docs: np.ndarray, doc: np.ndarray, place: np.ndarray, lanes: list, known: np.ndarray | None = None) -> dict | None:
-        if not len(doc):
-            return None
-        own, counts = np.unique(doc, return_counts=True)
-        hashes = b"".join(_planes(x) if i == 0 else x.astype(np.uint32).tobytes() for i, x in enumerate(lanes))
-        return {"bucket": bucket, "docs": b"".join(_planes(np.ascontiguousarray(x)) for x in docs[:, own]), "counts": _planes(counts.astype(np.uint32)), "places": _planes(place), "hashes": hashes, "known": b"" if known is None else np.packbits(known).tobytes()}
+        for begin, end in _runs(bucket[by]):
+            part = sent[by[begin:end]]
+            hashes = b"".join(_planes(x[part]) if i == 0 else x[part].astype(np.uint32).tobytes() for i, x in enumerate(lanes))
+            rows.append(_packed_row({"bucket": int(bucket[by[begin]])}, docs, doc[part], place[part]) | {"hashes": hashes, "known": np.packbits(known[part]).tobytes()})
+        return rows
 
 
 PACKED_SCHEMA = pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("docs", "counts", "places", "hashes", "known"))])
+MARKED_SCHEMA = pa.schema([("home", pa.int64()), *((c, pa.binary()) for c in ("docs", "counts", "places"))])
 
 
 def _settle_anchors(lanes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,55 +197,66 @@ def _later(lanes: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return out
 
 
+def _unpacked_docs(column: pa.ChunkedArray, parts: int) -> np.ndarray:
+    """The numbers of the documents of all rows, a column per document."""
+    docs = [np.stack([_from_planes(b[i * len(b) // parts : (i + 1) * len(b) // parts], np.int64) for i in range(parts)]) for b in column.to_pylist()]
+    return np.concatenate(docs, axis=1) if docs else np.empty((parts, 0), np.int64)
+
+
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint32), *(_from_planes(b, np.uint32) for b in column.to_pylist())]).astype(np.int64)
+
+
 def _marked(packed: DataFrame, lanes: int) -> DataFrame:
-    """Marked places of every document: of each bucket, entries with a repeated hash (one lane: anchors), or those
-    that aren't the first of theirs (two: windows); and what the chunks have marked. One row per document."""
+    """Marked places by home of their documents: of each bucket, entries with a repeated hash (one lane: anchors), or those
+    that aren't the first of theirs (two: windows); and what the chunks have marked."""
 
     def run(group: pa.Table) -> pa.Table:
-        docs = [np.stack([_from_planes(b[i * len(b) // 3 : (i + 1) * len(b) // 3], np.int64) for i in range(3)]) for b in group["docs"].to_pylist()]
-        counts = [_from_planes(b, np.uint32).astype(np.int64) for b in group["counts"].to_pylist()]
-        docs, counts = np.concatenate(docs, axis=1), np.concatenate(counts)
-        place = np.concatenate([_from_planes(b, np.uint32) for b in group["places"].to_pylist()])
+        docs, counts, place = _unpacked_docs(group["docs"], 4), _unpacked(group["counts"]), _unpacked(group["places"])
+        doc = np.repeat(np.arange(len(counts)), counts)
         if group["bucket"][0].as_py() >= 0:
             hashes, ends = group["hashes"].to_pylist(), [len(b) // 4 for b in group["places"].to_pylist()]
             hs = [np.concatenate([_from_planes(b[: 8 * n], np.uint64) for b, n in zip(hashes, ends, strict=True)])]
             if lanes == 2:
                 hs.append(np.concatenate([np.frombuffer(b, np.uint32, n, 8 * n) for b, n in zip(hashes, ends, strict=True)]))
                 rank = np.empty(docs.shape[1], np.int64)
-                rank[np.lexsort(docs[::-1])] = np.arange(docs.shape[1])
-                keep = _later(hs, np.repeat(rank, counts) << 32 | place)
+                rank[np.lexsort(docs[:3][::-1])] = np.arange(docs.shape[1])
+                keep = _later(hs, rank[doc] << 32 | place)
             else:
                 known = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(group["known"].to_pylist(), ends, strict=True)]).astype(bool)
                 _, at, n = np.unique(hs[0], return_inverse=True, return_counts=True)
-                shared = n[at] > 1
-                shared[known] = True
-                anywhere = np.zeros(len(n), bool)
-                anywhere[at[shared]] = True
+                anywhere = n > 1
+                anywhere[at[known]] = True
                 keep = anywhere[at] & ~known
-            kept = np.add.reduceat(keep.astype(np.int64), np.cumsum(counts) - counts)
-            place, docs, counts = place[keep], docs[:, kept > 0], kept[kept > 0]
-        offsets = np.concatenate([[0], np.cumsum(counts)]) * 4
-        data = place.astype("<u4").tobytes()
-        places = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])
-        return pa.table([pa.array(docs[1]), pa.array(docs[2]), places], names=["file", "row", "places"])
+            place, doc = place[keep], doc[keep]
+        own, doc = np.unique(doc, return_inverse=True)
+        docs = docs[:, own]
+        home = docs[3][doc]
+        by = np.lexsort((place, doc, home))
+        rows = [_packed_row({"home": int(home[by[i]])}, docs[1:3], doc[by[i:j]], place[by[i:j]]) for i, j in _runs(home[by])]
+        return pa.Table.from_pylist(rows, MARKED_SCHEMA)
 
-    return packed.groupBy("bucket").applyInArrow(run, MARKED).groupBy("file", "row").agg(F.collect_list("places").alias("places"))
+    return packed.groupBy("bucket").applyInArrow(run, MARKED)
 
 
-def _places(lists: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(x or ()), "<u4").astype(np.int64) for x in lists.to_pylist()]
+def _packed_row(key: dict, docs: np.ndarray, doc: np.ndarray, place: np.ndarray) -> dict:
+    """Places of documents (in the order of documents) as one row."""
+    own, counts = np.unique(doc, return_counts=True)
+    return key | {"docs": b"".join(_planes(np.ascontiguousarray(x)) for x in docs[:, own]), "counts": _planes(counts.astype(np.uint32)), "places": _planes(place.astype(np.uint32))}
 
 
-def _doc_rows(part: pa.RecordBatch) -> np.ndarray:
-    return np.stack([np.asarray(pc.fill_null(part.column(0), NULL_ID)), np.asarray(part.column(1)), np.asarray(part.column(2))])
+def _placed(marked: pa.Table, texts: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each marked place, the number of its document among the texts, and the place."""
+    files, counts = _unpacked_docs(marked["docs"], 2), _unpacked(marked["counts"])
+    at = {key: i for i, key in enumerate(zip(texts["file"].to_pylist(), texts["row"].to_pylist(), strict=True))}
+    doc = np.fromiter((at[key] for key in zip(*files.tolist(), strict=True)), np.int64, files.shape[1])
+    return np.repeat(doc, counts), _unpacked(marked["places"])
 
 
-def _covered(places: list[np.ndarray], begins: np.ndarray, total: int, before: int, after: int) -> np.ndarray:
+def _covered(doc: np.ndarray, place: np.ndarray, begins: np.ndarray, total: int, before: int, after: int) -> np.ndarray:
     """Which of all positions lie from ``before`` in front of a place to ``after`` behind it (excluded), cut at the
     document's begin only."""
-    begin = np.repeat(begins, [len(p) for p in places])
-    place = np.concatenate([*places, np.empty(0, np.int64)])
-    starts, ends = begin + np.maximum(place - before, 0), begin + place + after
+    starts, ends = begins[doc] + np.maximum(place - before, 0), begins[doc] + place + after
     edges = np.bincount(starts, minlength=total + 1)[: total + 1] - np.bincount(ends, minlength=total + 1)[: total + 1]
     return np.cumsum(edges)[:total] > 0
 
@@ -256,55 +274,54 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     cover, length = np.array(difference_cover(period)), window - period + 1
     placed = row_address(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")))
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    n_buckets = 1 + chars // 5 // BUCKET_WORDS
-    rows = placed.select("doc_id", F.xxhash64("__file").alias("file"), F.col("__row").alias("row"), "text").repartition("file", "row")
+    n_buckets, n_homes = 1 + chars // 5 // BUCKET_WORDS, 1 + chars // HOME_CHARS
+    rows = placed.select("doc_id", F.xxhash64("__file").alias("file"), F.col("__row").alias("row"), "text")
+    rows = rows.withColumn("home", F.pmod(F.xxhash64("file", "row"), F.lit(n_homes)))
 
-    def entries(batches: Iterable[pa.RecordBatch], lanes: int, settle: Callable, pick: Callable) -> Iterator[pa.RecordBatch]:
-        """Packed chunks of what ``pick`` takes from the words of each slice of documents."""
+    def words_of(texts: pa.Table | pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All words, how many each text has and where its first one is; for each word its text and place."""
+        words, counts = split_words(texts.column("text").combine_chunks() if isinstance(texts, pa.Table) else texts.column("text"))
+        begins = np.cumsum(counts) - counts
+        doc = np.repeat(np.arange(len(counts)), counts)
+        return words, counts, begins, doc, np.arange(len(words)) - begins[doc]
+
+    def anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk()
         for batch in batches:
-            for begin, end in _slices(batch.column(3), SLICE_BYTES):
+            for begin, end in _slices(batch.column("text"), SLICE_BYTES):
                 part = batch.slice(begin, end - begin)
-                words, counts = split_words(part.column(3))
-                begins = np.cumsum(counts) - counts
-                doc = np.repeat(np.arange(len(counts)), counts)
-                place = np.arange(len(words)) - begins[doc]
-                at, *found = pick(part, word_hashes(words, lanes), place, counts[doc] - place, begins)
-                chunk.add(_doc_rows(part), len(words), doc[at], place[at], *found)
+                words, counts, _, doc, place = words_of(part)
+                at = np.flatnonzero((counts[doc] - place >= length) & np.isin(place % period, cover))
+                chunk.add(_doc_rows(part), len(words), doc[at], place[at], window_hashes(*word_hashes(words, 1), length)[at])
                 if chunk.n_words >= CHUNK_WORDS:
-                    yield from chunk.packed(n_buckets, settle)
+                    yield pa.RecordBatch.from_pylist(chunk.packed(n_buckets, _settle_anchors), PACKED_SCHEMA)
                     chunk = _Chunk()
-        yield from chunk.packed(n_buckets, settle)
-
-    def anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pick(part, hashes, place, left, begins):  # noqa: ANN001, ANN202
-            at = np.flatnonzero((left >= length) & np.isin(place % period, cover))
-            return at, window_hashes(hashes[0], length)[at]
-
-        return entries(batches, 1, _settle_anchors, pick)
-
-    def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pick(part, hashes, place, left, begins):  # noqa: ANN001, ANN202
-            near = _covered(_places(part.column(4)), begins, len(place), period - 1, 1)
-            at = np.flatnonzero(near & (left >= window))
-            return at, *(window_hashes(h, window)[at] for h in hashes)
-
-        return entries(batches, 2, _settle_windows, pick)
-
-    def kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin, end in _slices(batch.column(3), SLICE_BYTES):
-                part = batch.slice(begin, end - begin)
-                words, counts = split_words(part.column(3))
-                gone = _covered(_places(part.column(4)), np.cumsum(counts) - counts, len(words), 0, window)
-                ends = np.cumsum(counts)
-                removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[ends], prepend=0) if len(ends) else ends
-                offsets = np.concatenate([[0], np.cumsum(counts - removed)]).astype(np.int32)
-                text = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words.filter(pa.array(~gone))), " ")
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed.astype(np.int64)), text], ["doc_id", "n_words", "n_removed", "kept_text"])
+        yield pa.RecordBatch.from_pylist(chunk.packed(n_buckets, _settle_anchors), PACKED_SCHEMA)
+
+    def windows(texts: pa.Table, marked: pa.Table) -> pa.Table:
+        doc, place = _placed(marked, texts)
+        known, to = np.unique(doc, return_inverse=True)  # other documents have no candidates
+        texts = texts.take(pa.array(known))
+        words, counts, begins, word_doc, word_place = words_of(texts)
+        near = _covered(to, place, begins, len(words), period - 1, 1)
+        at = np.flatnonzero(near & (counts[word_doc] - word_place >= window))
+        chunk = _Chunk()
+        if len(at):
+            chunk.add(_doc_rows(texts), len(words), word_doc[at], word_place[at], *(window_hashes(h, window)[at] for h in word_hashes(words, 2)))
+        return pa.Table.from_pylist(chunk.packed(n_buckets, _settle_windows), PACKED_SCHEMA)
+
+    def kept(texts: pa.Table, marked: pa.Table) -> pa.Table:
+        words, counts, begins, _, _ = words_of(texts)
+        gone = _covered(*_placed(marked, texts), begins, len(words), 0, window)
+        ends = np.cumsum(counts)
+        removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[ends], prepend=0)
+        offsets = np.concatenate([[0], np.cumsum(counts - removed)]).astype(np.int32)
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), words.filter(pa.array(~gone))), " ")
+        return pa.table([texts["doc_id"], pa.array(counts.astype(np.int64)), pa.array(removed.astype(np.int64)), text], names=["doc_id", "n_words", "n_removed", "kept_text"])
+
+    def at_home(marked: DataFrame, f: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        return rows.groupBy("home").cogroup(marked.groupBy("home")).applyInArrow(f, schema)
 
     anchored = _marked(rows.mapInArrow(anchors, PACKED), 1)
-    candidates = rows.join(anchored, ["file", "row"]).select("doc_id", "file", "row", "text", "places")
-    repeated = _marked(candidates.mapInArrow(windows, PACKED), 2)
-    judged = rows.join(repeated, ["file", "row"], "left").select("doc_id", "file", "row", "text", "places")
-    return judged.mapInArrow(kept, "doc_id long, n_words long, n_removed long, kept_text string")
+    repeated = _marked(at_home(anchored, windows, PACKED), 2)
+    return at_home(repeated, kept, "doc_id long, n_words long, n_removed long, kept_text string")

@@ -54,13 +54,13 @@ def test_small_chunks_and_many_buckets_change_nothing(spark, monkeypatch):
     rows = passages(random.Random(1), 200)
     want = sorted((i, *x) for (i, _), x in zip(rows, brute(rows), strict=True))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for name, value in (("BUCKET_WORDS", 500), ("CHUNK_WORDS", 300), ("SLICE_BYTES", 400)):
+    for name, value in (("BUCKET_WORDS", 500), ("CHUNK_WORDS", 300), ("SLICE_BYTES", 400), ("HOME_CHARS", 900)):
         monkeypatch.setattr(R, name, value)
     assert got(R.remove_repeats(docs)) == want
     c = R._Chunk()
     for d in range(3):
-        c.add(np.array([[d], [7], [d]]), 4, np.zeros(4, int), np.arange(4), np.array([5, 5, 6 + d, 9], np.uint64))
-    out = [b.to_pylist() for b in c.packed(4, R._settle_anchors)][0]
+        c.add(np.array([[d], [7], [d], [0]]), 4, np.zeros(4, int), np.arange(4), np.array([5, 5, 6 + d, 9], np.uint64))
+    out = c.packed(4, R._settle_anchors)
     assert [r["bucket"] < 0 for r in out].count(True) == 1 and sum(len(r["places"]) // 4 for r in out if r["bucket"] >= 0) == 5
 
 
