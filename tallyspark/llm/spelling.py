@@ -86,14 +86,13 @@ def neighbours(words: DataFrame) -> DataFrame:
 
 def roots(forms: DataFrame, most: int, ratio: int) -> DataFrame:
     """``word`` and ``root`` (the last word of the way from form to form) of every row of ``forms`` (``word``,
-    ``form``), by doubling the steps. Counts grow by ``ratio`` at each step, so a way has at most
-    log(most) steps and the number of joins is known beforehand."""
-    links = forms.select("word", F.col("form").alias("to"))
-    steps = math.log(max(most, 2), ratio) + 1
-    for _ in range(math.ceil(math.log2(steps + 1))):
-        onward = links.select(F.col("word").alias("to"), F.col("to").alias("then"))
-        links = stored(links.join(onward, "to", "left").select("word", F.coalesce("then", "to").alias("to")), "roots")
-    return links.select("word", F.col("to").alias("root"))
+    ``form``). Counts grow by ``ratio`` at each step, so no way is longer than log(most), and that number of joins
+    with one table, in one plan, leads to every root; a table per round would be many small files."""
+    onward = forms.select(F.col("word").alias("root"), F.col("form").alias("then"))
+    led = forms.select("word", F.col("form").alias("root"))
+    for _ in range(math.floor(math.log(max(most, 1), ratio)) + 1):
+        led = led.join(onward, "root", "left").select("word", F.coalesce("then", "root").alias("root"))
+    return led
 
 
 def variant_groups(words: DataFrame, ratio: int = 10) -> DataFrame:
