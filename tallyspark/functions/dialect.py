@@ -9,7 +9,7 @@ Every helper has a DuckDB twin ``*_sql`` used only by the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A Sunday long before any data: T-SQL counts week boundaries as Sundays crossed.
@@ -125,6 +125,20 @@ def split_list(c, sep: str = ",") -> Column:
     return F.transform(F.split(_c(c), sep), lambda x: F.trim(x))
 
 
+def unnest(df: DataFrame, outer: bool = False, **arrays) -> DataFrame:
+    """``df`` with a row per element of the arrays, side by side (``SELECT unnest(a) AS x, unnest(b) AS y``): the k-th
+    elements of all stand in one row, and arrays that have ended give NULL.
+
+    A NULL array counts as an empty one. A row whose arrays are all empty goes, as in PostgreSQL, or stays with
+    NULLs (``outer``). Columns of ``df`` with the same names are replaced.
+    """
+    lists = [F.coalesce(_c(a), F.array()).alias(name) for name, a in arrays.items()]
+    together = F.arrays_zip(*lists)
+    element = (F.explode_outer if outer else F.explode)(together).alias("__element")
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in arrays]
+    return df.select(*rest, element).select(*rest, *[F.col("__element")[name].alias(name) for name in arrays])
+
+
 def leading_number(c) -> Column:
     """The leading number of text such as ``'23.4 km'`` or ``'25mins'``; NULL if none."""
     return F.nullif(F.regexp_extract(_c(c), r"^\s*([0-9]+(\.[0-9]+)?)", 1), F.lit(""))

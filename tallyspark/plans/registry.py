@@ -1,4 +1,4 @@
-"""Registry of every analytic key: Spark builder and DuckDB oracle text."""
+"""Registry of every analytic key and its Spark builder (their DuckDB oracle texts: `oracle_texts`, beside the package)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.plans import balances, loyalty, orders, retail, subscriptions, web
-from tallyspark.sources.adapters import with_views
 from tallyspark.sources.tables import Tables
 
 MODULES = [loyalty, orders, subscriptions, balances, retail, web]
@@ -35,11 +34,3 @@ def build_views(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], Data
         for k, fn in getattr(m, "VIEWS", {}).items():
             out[k] = (lambda f: lambda: f(Tables(spark, sf_dir)))(fn)
     return out
-
-
-def oracle_sql() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for m in MODULES:
-        for k, sql in m.SQL.items():
-            out[k] = with_views(sql)
-    return out

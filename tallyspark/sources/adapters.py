@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import int_div
-from tallyspark.operators.sequence import neighbours
+from tallyspark.operators.prefix import scan
 from tallyspark.sources import dims
 from tallyspark.sources.tables import Tables
 
@@ -147,7 +147,7 @@ def bank_nodes(t: Tables) -> DataFrame:
     """Each order re-allocates its customer to node ``orderkey % 5 + 1``, valid until the
     day before the customer's next order; the last allocation is open (9999-12-31)."""
     o = t.orders.select("o_orderkey", "o_custkey", _date("o_orderdate").alias("start_date"))
-    o = neighbours(o, ["o_custkey"], ["start_date", "o_orderkey"], ["start_date"], ["start_date"], prev=False)
+    o = scan(o, ["o_custkey"], ["start_date", "o_orderkey"], nxt=["start_date"])
     c = t.customer.select("c_custkey", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_regionkey")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))

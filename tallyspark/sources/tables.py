@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyspark.operators.materialize import Sources, shared
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
@@ -20,18 +22,20 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
+        self._sources = Sources(spark)
 
     def table(self, name: str) -> DataFrame:
+        path = f"{self.sf_dir}/{name}.parquet"
+        self._sources.use(path)
         df = self._frames.get(name)
         if df is None:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = self.spark.read.parquet(path)
             self._frames[name] = df
         return df
 
     def view(self, name: str, build) -> DataFrame:
         """A derived table shared by many analytics, materialised once per application."""
-        from tallyspark.operators.materialize import shared
-        return shared(self.spark, self.sf_dir, name, build)
+        return shared(self.spark, self.sf_dir, name, build, self._sources)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in DRIVER_TABLES:
