@@ -180,10 +180,10 @@ def weekly_sales_raw(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     n = t.nation.select("n_nationkey", "n_regionkey")
     r = t.region.select("r_regionkey", "r_name")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    # the small tables first, along orders; the lines meet the result once
+    placed = (o.join(c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")),
+                     F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_custkey", "c_mktsegment", "r_name"))
+    j = li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
     ck = F.col("c_custkey")
     segment = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("null")).otherwise(
         F.concat(F.when(ck % 2 == 0, "C").otherwise("F"), (ck % 4 + 1).cast("string")))

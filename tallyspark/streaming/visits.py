@@ -39,8 +39,11 @@ def visit_summary(events: DataFrame, campaigns: DataFrame, lateness: str = "1 ho
         "user_id",
         F.col("visit_start_time").cast("timestamp_ntz").alias("visit_start_time"),
         "page_views", "cart_adds", "purchase", "impression", "click")
-    c = F.broadcast(campaigns.select("campaign_name", F.col("start_date").alias("__cs"), F.col("end_date").alias("__ce")))
-    j = v.join(c, (v["visit_start_time"] >= c["__cs"]) & (v["visit_start_time"] <= c["__ce"]), "left")
+    # a campaign becomes its days, so that the lookup is an equi-join whatever its size
+    c = campaigns.select("campaign_name", F.col("start_date").alias("__cs"), F.col("end_date").alias("__ce"),
+                         F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"))).alias("__day"))
+    j = v.join(c, (F.to_date(v["visit_start_time"]) == c["__day"]) & (v["visit_start_time"] >= c["__cs"])
+               & (v["visit_start_time"] <= c["__ce"]), "left")
     # events.user_id is the cookie; three cookies make one user (as in the batch view)
     return j.select(int_div("user_id", F.lit(3)).alias("user_id"), "visit_id", "visit_start_time",
                     "page_views", "cart_adds", "purchase", "campaign_name", "impression", "click")
