@@ -31,8 +31,8 @@ from tallyspark.llm.common import shared_path, stored
 BLOCK, PERCENTILE = 1024, 90
 #: Blocks that are packed or read at once.
 BATCH = 256
-#: New segments that one call of the library takes.
-CALL = 8192
+#: New segments that one call of the library takes, and how many of them make one text.
+CALL, JOINED = 8192, 256
 MAGIC = b"PFORIDS1"
 _HEAD, _TAIL = struct.Struct("<IBHH"), struct.Struct("<QQQQ8s")
 
@@ -180,35 +180,69 @@ class Reader:
         return ids[begin - first * BLOCK : end - first * BLOCK]
 
 
-_CODERS: dict[str, SegmentCoder] = {}
+class LibraryCoder:
+    """Ids of texts as the tokenizers library gives them in a plain call without special tokens added.
 
+    Segments (`bpe.segments`) are remembered, and the library encodes every new one. Most begin with a lone blank,
+    where a match always starts, so some of them end to end make a text that it cuts at their begins; a token's bytes tell which
+    segment it is of. A text that holds an added token's own string goes to the library whole.
+    """
 
-def library_coder(path: str) -> SegmentCoder:
-    """Ids by the tokenizers library, which encodes every new segment of the texts (special tokens'
-    strings are ordinary text), once for a worker. A call takes a list of segments, each on its own."""
-    if path not in _CODERS:
+    def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        whole = Tokenizer.from_file(path)
-        whole.encode_special_tokens = True
-        model = whole.model
-        model._resize_cache(0)  # every segment comes once, so the library's own memory never hits
-        whole.model = model
-
-        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            flat, count = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-            for at in range(0, len(new), CALL):
-                some = new[at : at + CALL]
-                found = whole.encode(some, is_pretokenized=True, add_special_tokens=False)
-                flat.append(np.array(found.ids, np.uint32))
-                # a token names the segment it is of; an empty segment has none
-                count.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(some)))
-            return np.concatenate(flat), np.concatenate(count)
-
-        _CODERS[path] = SegmentCoder(encode)
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # a byte-level token has a character for each byte
+        size = self.whole.get_vocab_size(with_added_tokens=True)
+        self.bytes = np.array([len(self.whole.id_to_token(i) or "") for i in range(size)], np.int64)
+        self.coder = SegmentCoder(self._new)
+
+    def _new(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = np.array([len(s) > 1 and s[0] == " " and not s[1].isspace() and not s[-1].isspace() for s in new], bool)
+        count = np.zeros(len(new), np.int64)
+        order, flat = [], [np.empty(0, np.uint32)]
+        for at, takes in ((np.flatnonzero(joined), True), (np.flatnonzero(~joined), False)):
+            for begin in range(0, len(at), CALL):
+                part = at[begin : begin + CALL]
+                some = [new[i] for i in part]
+                if takes:
+                    texts = ["".join(some[i : i + JOINED]) for i in range(0, len(some), JOINED)]
+                    ids = np.concatenate([np.array(e.ids, np.int64) for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)])
+                    ends = np.cumsum([len(s) if s.isascii() else len(s.encode()) for s in some])
+                    count[part] = np.diff(np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right"), prepend=0)
+                else:
+                    found = self.whole.encode(some, is_pretokenized=True, add_special_tokens=False)
+                    ids = np.array(found.ids, np.int64)
+                    count[part] = np.bincount(np.array(found.word_ids, np.int64), minlength=len(some))
+                flat.append(ids.astype(np.uint32))
+                order.append(part)
+        # back into the order of the segments
+        where = np.concatenate([*order, np.empty(0, np.int64)])
+        flat, n = np.concatenate(flat), count[where]
+        start = np.empty(len(new), np.int64)
+        start[where] = np.cumsum(n) - n
+        done = np.cumsum(count)
+        return flat[np.repeat(start - (done - count), count) + np.arange(len(flat))], count
+
+    def ids(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
+        """For each text in order, its ids as a list of arrays (more than one for a very long text)."""
+        special = [any(t in text for t in self.added) for text in texts]
+        plain = text_ids(self.coder, ["" if x else text for text, x in zip(texts, special, strict=True)])
+        for text, x, found in zip(texts, special, plain, strict=True):
+            yield [np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)] if x else found
+
+
+_CODERS: dict[str, LibraryCoder] = {}
+
+
+def library_coder(path: str) -> LibraryCoder:
+    """The coder of this Python worker; a worker is used for many tasks."""
+    if path not in _CODERS:
+        _CODERS[path] = LibraryCoder(path)
     return _CODERS[path]
 
 
@@ -216,7 +250,8 @@ def write_ids(docs: DataFrame, path: str, end_id: int | None = None, folder: str
     """Encode all documents and write their ids to files in ``folder`` (a new one in the shared
     folder by default). Returns the manifest: ``shard``, ``file``, ``n_docs``, ``n_ids``, ``start`` (ids in the files before).
 
-    Files and documents in them are in ascending key order (null first; ties by text). A null or
+    Ids are those of the library's plain call (``add_special_tokens=False``): a special token's string within a text
+    is that token. Files and documents in them are in ascending key order (null first; ties by text). A null or
     empty text has no ids but ``end_id``. Keys must be whole numbers or null. Only the two columns
     are read, so other columns of any name don't matter. An empty table writes no files.
     """
@@ -234,7 +269,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int | None = None, folder: str
             for begin, end in _byte_ranges(batch.column(1)):
                 part = batch.slice(begin, end - begin)
                 out = out or Writer(name)
-                for k, ids in zip(part.column(0).to_pylist(), text_ids(coder, [t or "" for t in part.column(1).to_pylist()]), strict=True):
+                for k, ids in zip(part.column(0).to_pylist(), coder.ids([t or "" for t in part.column(1).to_pylist()]), strict=True):
                     out.document(k)
                     for x in ids:
                         out.add(x)

@@ -183,7 +183,6 @@ def test_blocks_round_trip(kind, tmp_path):
 
 def test_id_files_equal_the_library(edge, empty):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = idfiles.read_ids(idfiles.write_ids(edge, P.path("byte_bpe_50k.json"), end_id=2)).collect()
     at, want = 0, Counter()
     for i, text, *_ in sorted(edge_rows(), key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -194,6 +193,16 @@ def test_id_files_equal_the_library(edge, empty):
     assert idfiles.read_ids(idfiles.write_ids(empty, P.path("byte_bpe_50k.json"), end_id=2)).count() == 0
 
 
+def test_ids_are_those_of_the_plain_call():
+    t, coder = Tokenizer.from_file(P.path("byte_bpe_50k.json")), idfiles.library_coder(P.path("byte_bpe_50k.json"))
+    rnd = random.Random(8)
+    parts = ["a", " b", "<|endoftext|>", " ", "\n", "  ", "\t", "it's", " don't", "été", " 中文", "\U0001f600", " x1", "!!", " ##", "\xa0", "\u2003", " <|endoftext|>", "\0", "\x1c"]
+    texts = ["a <|endoftext|> b", "", " ", "<|endoftext|>"] + ["".join(rnd.choices(parts, k=rnd.randint(1, 30))) for _ in range(3000)]
+    texts += [" ".join("".join(rnd.choices("abcdefghäß", k=rnd.randint(1, 9))) for _ in range(800)) for _ in range(30)]
+    for text, ids in zip(texts, coder.ids(texts), strict=True):
+        assert np.concatenate(ids).tolist() == t.encode(text, add_special_tokens=False).ids, text
+
+
 # ---- 7
 def brute_groups(rows):
     sets = []
