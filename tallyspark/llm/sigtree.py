@@ -6,8 +6,8 @@ import hashlib
 
 import numpy as np
 
-#: Words from this many bytes on are hashed by the library, shorter ones with numpy.
-LONG_WORD = 1 << 12
+#: Words from this many bytes on are hashed by the library (BLAKE2), shorter ones with numpy.
+LONG_WORD = 64
 #: Words hashed at once.
 CHUNK_WORDS = 1 << 17
 FANOUT = 4
@@ -24,7 +24,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 _LETTER = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LETTER[32] = 0  # the separator adds nothing to a word
-_POWER = np.cumprod(np.full(LONG_WORD + 1, 0x9E3779B97F4A7C15 | 1, np.uint64))
+# a multiplier of its own for each place: powers of one number have words that collide whatever the number
+_POWER = _mix(np.arange(1, LONG_WORD + 2, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 _PLACE = _mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
