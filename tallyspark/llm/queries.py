@@ -111,4 +111,38 @@ SQL: dict[str, str] = {
                doc_id = first_value(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
     """,
+    # crc32 by its table of 256 remainders, over the bytes of the text in hexadecimal
+    "op12_spelling": r"""
+        WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        found AS (SELECT CAST(doc_id AS VARCHAR) AS k, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+            FROM documents WHERE text IS NOT NULL),
+        runs AS (SELECT run, count(*) AS n, hex(encode(coalesce(k, '') || ':' || run)) AS x FROM found WHERE length(run) >= 7 GROUP BY k, run),
+        bytes AS (SELECT run, n, list_transform(range(1, len(x), 2), lambda i: 16 * (instr('0123456789ABCDEF', x[i]) - 1) + instr('0123456789ABCDEF', x[i + 1]) - 1) AS b FROM runs),
+        hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, y: xor(c >> 8, crc.t[xor(c & 255, y) + 1]))) AS h FROM bytes, crc),
+        cut AS (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+        words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        -- a word without one code point, and where that was
+        less AS (SELECT word, n, p, left(word, p - 1) || substr(word, p + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM words) u),
+        near AS (SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON b.word = a.rest
+            UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON b.word = a.rest),
+        best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS top FROM near GROUP BY word),
+        formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 10 * w.n THEN other END AS form, CASE WHEN top >= 10 * w.n THEN top END AS form_n
+            FROM words w LEFT JOIN best USING (word)),
+        way AS (SELECT * FROM (WITH RECURSIVE step AS (SELECT word, word AS root, 0 AS k FROM formed
+                UNION ALL SELECT s.word, f.form, s.k + 1 FROM step s JOIN formed f ON f.word = s.root WHERE f.form IS NOT NULL)
+            SELECT word, arg_max(root, k) AS root FROM step GROUP BY word) r)
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN way USING (word)
+    """,
+    "op13_repeats": r"""
+        WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+        windows AS (SELECT doc_id, s, array_to_string(words[s:s + 19], ' ') AS k FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS s FROM w) u),
+        later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM windows) v WHERE r > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later),
+        each AS (SELECT doc_id, unnest(words) AS x, unnest(range(1, len(words) + 1)) AS i FROM w),
+        stay AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN stay USING (doc_id)
+    """,
 }
