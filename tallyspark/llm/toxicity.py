@@ -33,6 +33,8 @@ THRESHOLD = 0.3
 SHARED = 0.02
 #: Rows of the table that are broadcast, at most, and 64-bit words of the bitmap of the others.
 HEAD, BITMAP = 1 << 19, 1 << 20
+#: 64-bit words of the bitmap of the labelled keys.
+KEY_BITS = 1 << 18
 #: Units of what an occurrence adds.
 UNIT = 1 << 24
 #: Words after which a task hands on its counts.
@@ -58,17 +60,16 @@ def count_grams(labelled: DataFrame) -> DataFrame:
     class ``n0`` and ``n1``. A long document counts no more than others."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "n"]
+        names = ["a", "b", "n0", "n1"]
         words, pairs, size = [], [], 0
 
         def out() -> Iterator[pa.RecordBatch]:
             for grams in (words, pairs):
-                key, a, b, n = (np.concatenate(x) for x in zip(*grams, strict=True))
+                key, a, b, toxic = (np.concatenate(x) for x in zip(*grams, strict=True))
                 _, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-                total = np.zeros(len(at), np.int64)
-                np.add.at(total, inverse, n)
+                n1, n = (np.bincount(inverse, x, len(at)).astype(np.int64) for x in (toxic, None))
                 second = pa.array(b[at].view(np.int64)) if grams is pairs else pa.nulls(len(at), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), second, pa.array(total)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), second, pa.array(n - n1), pa.array(n1)], names)
                 grams.clear()
 
         for batch in batches:
@@ -76,18 +77,35 @@ def count_grams(labelled: DataFrame) -> DataFrame:
                 h, pair = word_ids(text)
                 one = np.unique(h)
                 both, at = np.unique(pair, return_index=True)
-                unit = 1 << (32 * toxic)  # ordinary documents in the low half
-                words.append((one, one, one, np.full(len(one), unit, np.int64)))
-                pairs.append((both, h[at], h[at + 1] if len(at) else h[:0], np.full(len(both), unit, np.int64)))
+                words.append((one, one, one, np.full(len(one), toxic, np.int8)))
+                pairs.append((both, h[at], h[at + 1] if len(at) else h[:0], np.full(len(both), toxic, np.int8)))
                 if (size := size + len(h)) >= FLUSH:
                     yield from out()
                     size = 0
         if words:
             yield from out()
 
-    found = labelled.select("text", "toxic").mapInArrow(count, "a long, b long, n long")
-    n0, n1 = F.expr("n & 4294967295L"), F.expr("shiftrightunsigned(n, 32)")
-    return found.groupBy("a", "b").agg(F.sum("n").alias("n")).select("a", "b", n0.alias("n0"), n1.alias("n1"))
+    found = labelled.select("text", "toxic").mapInArrow(count, "a long, b long, n0 long, n1 long")
+    return found.groupBy("a", "b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def condensed(grams: DataFrame) -> DataFrame:
+    """What the models need of all counts, summed in one pass: words with the distinct words ``after`` and ``before`` them;
+    pairs that may depart from their share; and in one row (``a`` null) the counts of all others.
+
+    A pair of n documents is at most n from its share, and the discount is `DISCOUNT` at least: up to
+    that many documents it never departs. Most pairs are so rare, and they aren't kept.
+    """
+    no, one, none = F.lit(0).cast("long"), F.lit(1).cast("long"), F.lit(None).cast("long")
+
+    def row(a: Column, b: Column, n0: Column, n1: Column, after: Column, before: Column) -> Column:
+        return F.struct(a.alias("a"), b.alias("b"), n0.alias("n0"), n1.alias("n1"), after.alias("after"), before.alias("before"))
+
+    a, b, n0, n1 = map(F.col, ("a", "b", "n0", "n1"))
+    may = n0 + n1 > DISCOUNT
+    pair = F.array(row(F.when(may, a), F.when(may, b), n0, n1, no, no), row(a, none, no, no, one, no), row(b, none, no, no, no, one))
+    rows = grams.select(F.explode(F.when(b.isNull(), F.array(row(a, none, n0, n1, no, no))).otherwise(pair)).alias("r")).select("r.*")
+    return rows.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "after", "before")])
 
 
 def _discounted(sums: tuple[float, float]) -> tuple[list[Column], Column]:
@@ -109,17 +127,15 @@ def added(grams: DataFrame) -> DataFrame:
     """What an occurrence of a word or pair adds to the toxic minus ordinary log-likelihood: ``h`` (hash), ``n``
     (documents) and ``v`` (in units). Empty when a class has no words: nothing is known then."""
     spark = grams.sparkSession
-    words, pairs = grams.where("b is null"), grams.where("b is not null")
+    grams = stored(condensed(grams), "grams")
+    words, pairs = grams.where("a is not null and b is null"), grams.where("b is not null")
     both = [F.coalesce(F.sum(f"n{c}"), F.lit(0)).cast("double").alias(f"n{c}") for c in (0, 1)]
-    s, t = tuple(words.agg(*both).first()), tuple(pairs.agg(*both).first())
+    s, t = tuple(words.agg(*both).first()), tuple(grams.where("a is null or b is not null").agg(*both).first())
     if not min(s):
         return spark.createDataFrame([], "h long, n long, v long")
-    # distinct words after and before each word, over both classes
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("h"), F.lit(1).alias("after"), F.lit(0).alias("before")), F.struct(F.col("b").alias("h"), F.lit(0).alias("after"), F.lit(1).alias("before")))).alias("e")).select("e.*")
-    ends = ends.groupBy("h").agg(F.sum("after").alias("after"), F.sum("before").alias("before"))
     own, _ = _discounted(s)
-    known = words.select(F.col("a").alias("h"), (F.col("n0") + F.col("n1")).alias("n"), own[0].alias("f0"), own[1].alias("f1")).join(ends, "h", "left")
-    known = stored(known.withColumns({"after": F.coalesce("after", F.lit(0)), "before": F.coalesce("before", F.lit(0)) + 1e-3}), "known")
+    known = words.select(F.col("a").alias("h"), (F.col("n0") + F.col("n1")).alias("n"), own[0].alias("f0"), own[1].alias("f1"), "after", (F.col("before") + 1e-3).alias("before"))
+    known = stored(known, "known")
     f0, f1, contexts = known.agg(F.sum("f0"), F.sum("f1"), F.sum("before")).first()
     shared = SHARED * F.col("before") / contexts
     p = [(1 - SHARED) * F.col(f"f{c}") / total + shared for c, total in ((0, f0), (1, f1))]
@@ -213,6 +229,15 @@ def _calibrate(bins: list, width: float) -> tuple[float, float]:
     return float(theta[0] / scale), float(theta[1])
 
 
+def maybe_listed(rows: DataFrame, listed: DataFrame, words: int = KEY_BITS) -> DataFrame:
+    """Rows whose ``doc_id`` may be among those of ``listed``: all that are, and few others while the list is short beside the
+    64 * ``words`` bits of a bitmap. It is broadcast as at most ``words`` rows, so that other rows' texts aren't shuffled."""
+    h = F.xxhash64("doc_id")
+    at, bit = F.expr(f"shiftrightunsigned(xxhash64(doc_id), 6) & {words - 1}L"), F.call_function("shiftleft", F.lit(1).cast("long"), (h.bitwiseAND(F.lit(63))).cast("int"))
+    bits = listed.groupBy(at.alias("__at")).agg(F.bit_or(bit).alias("__bits"))
+    return rows.withColumn("__at", at).join(F.broadcast(bits), "__at").where(F.col("__bits").bitwiseAND(bit) != 0).select(rows.columns)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``, repeated rows too: the key as ``doc_id``, ``held_out``, ``score`` (0 to 1) and
     ``predicted`` (1 if score >= ``threshold``).
@@ -228,8 +253,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     known = labels.select(F.col(key).alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(mod != 2)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learn = rows.where(mod < 2).join(known.where(mod < 2).hint("shuffle_hash"), "doc_id").select("text", "toxic")
-    scored = stored(differences(rows, added(stored(count_grams(learn), "grams"))), "toxicity")
+    learn = maybe_listed(rows.where(mod < 2), known.where(mod < 2)).join(known.where(mod < 2).hint("shuffle_hash"), "doc_id").select("text", "toxic")
+    scored = stored(differences(rows, added(count_grams(learn))), "toxicity")
     width = 0.002
     bins = scored.where(mod == 3).join(known, "doc_id").groupBy(F.round(F.greatest(F.least(F.col("difference"), F.lit(4.0)), F.lit(-4.0)) / width).alias("bin"), "toxic").count().collect()  # at most 2 * 4001 rows
     a, b = _calibrate(bins, width)

@@ -13,6 +13,8 @@ from tallyspark.llm import mixing, quality, rules, toxicity
 from tallyspark.llm.common import importable
 from tests.llm.conftest import SCHEMA
 
+SCHEMA_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+
 
 # ---- 10
 def labelled_texts(rnd, n):
@@ -57,6 +59,45 @@ def test_toxicity_bounds_change_no_result(spark):
     assert any(d for _, d in want)
 
 
+def test_pairs_that_cannot_depart_are_not_kept(spark):
+    importable(spark)
+    rows = list(labelled_texts(random.Random(5), 300))
+    grams = toxicity.stored(toxicity.count_grams(spark.createDataFrame(rows, "doc_id long, text string, toxic int")), "g")
+    whole = {(r["a"], r["b"]): (r["n0"], r["n1"]) for r in grams.collect()}
+    pairs = {g: n for g, n in whole.items() if g[1] is not None}
+    rare = {g: n for g, n in pairs.items() if sum(n) <= 3}
+    got = {(r["a"], r["b"]): (r["n0"], r["n1"], r["after"], r["before"]) for r in toxicity.condensed(grams).collect()}
+    want = {(w, None): (*n, sum(a == w for a, _ in pairs), sum(b == w for _, b in pairs)) for (w, b), n in whole.items() if b is None}
+    want |= {g: (*n, 0, 0) for g, n in pairs.items() if g not in rare} | {(None, None): (*map(sum, zip(*rare.values(), strict=True)), 0, 0)}
+    assert got == want and rare and len(pairs) > len(rare)
+    sums = tuple(float(sum(n[c] for n in pairs.values())) for c in (0, 1))
+    _, left = toxicity._discounted(sums)
+    kept = {(r["a"], r["b"]) for r in grams.where("b is not null").where(left).collect()}
+    assert kept and not kept & set(rare)
+
+
+def test_listed_rows_all_pass_the_bitmap(spark):
+    rows = spark.createDataFrame([(i, "t") for i in range(3000)] + [(None, "n"), (50, "again")], "doc_id long, text string")
+    listed = spark.range(0, 3000, 10).select(F.col("id").alias("doc_id"))
+    for words in (1, 1 << 10, 1 << 18):
+        passed = toxicity.maybe_listed(rows, listed, words)
+        assert passed.columns == rows.columns and passed.join(listed, "doc_id").count() == 301
+        assert passed.count() < {1: 3003, 1 << 10: 700, 1 << 18: 310}[words]
+    assert toxicity.maybe_listed(rows, listed.limit(0)).count() == 0
+
+
+def test_long_words_do_not_collide():
+    """Words that every polynomial hash modulo 2^64 confuses: a Thue-Morse word and its complement."""
+    from tallyspark.llm import sigtree
+
+    for n in (16, 32, 63, 64, 1024, 2048, 4096):
+        one = "".join("ab"[bin(i).count("1") % 2] for i in range(n)).encode()
+        other = one.translate(bytes.maketrans(b"ab", b"ba"))
+        h = toxicity.word_ids(b" ".join([one, other]))[0]
+        assert h[0] != h[1]
+        assert not np.isin(sigtree.shingles(b"x x x x " + one), sigtree.shingles(b"x x x x " + other)).any()
+
+
 def test_toxicity_of_one_class(spark):
     importable(spark)
     frame = spark.createDataFrame([(1, "some words here", 0)], "doc_id long, text string, toxic int")
@@ -85,6 +126,22 @@ def prose_rows(rnd, n, lang="en"):
     return [(i, " ".join(f"{w} word{rnd.randint(0, 10**6)}" for w in ("the of and to in is that it as for " * 8).split()) + ".", lang, "s", 1) for i in range(n)]
 
 
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_carry_columns_of_clashing_names(spark, tmp_path, stage):
+    """Other columns may have the names of any column that operators or stages add."""
+    importable(spark)
+    names = ["__file", "__row", "__slot", "__place", "kept", "__key", "__text", "slot", "place", "other_0", "file", "root", "g", "a.b"]
+    rows = prose_rows(random.Random(2), 30)
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({f"x{i}": F.lit(i) for i in range(len(names))}).toDF(*SCHEMA_NAMES, *names)
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, "")
+    assert out.columns == docs.columns and out.schema == docs.schema
+    plain = corpus_pipeline.STAGES[stage][1](spark, docs.select(*SCHEMA_NAMES), "")
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(r["doc_id"] for r in plain.collect())
+    assert all(tuple(r)[5:] == tuple(range(len(names))) for r in out.collect())
+
+
 @pytest.mark.parametrize("kind", ["memory", "union", "metadata", "exploded"])
 def test_stages_keep_rows_of_any_frame(spark, tmp_path, kind):
     """Clean documents pass, and one of each three equal rows stays, wherever the frame comes from."""
