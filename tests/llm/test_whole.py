@@ -213,3 +213,43 @@ def test_pool_covers_documents_of_every_language(spark):
             assert got[i]["word_distance"] == pytest.approx(want, abs=1e-9)
     assert all(not got[r[0]]["kept"] for r in junk)
     assert all(got[i]["kept"] for i in (500, 501))
+
+
+def test_every_language_is_held_against_its_own_documents(spark):
+    """Many languages, none with 1/64 of all documents, whose frequent words are long ones."""
+    importable(spark)
+    rnd = random.Random(5)
+
+    def prose(lang, n=6):
+        return " ".join(f"{lang}{'ordinary' * (k % 3)}{k} x{rnd.randint(0, 10**6)}" for k in range(10) for _ in range(n)) + " A1!" * rnd.randint(1, 9)
+
+    rows = [(10 * j + k, prose(f"l{j}"), f"l{j}", "s", 1) for j in range(70) for k in range(3)]
+    rows += [(2000, " ".join(f"{w}LONGWORD {rnd.randint(0, 10**9)}" for w in ["l3"] * 30), "l3", "s", 1), (2001, prose("single"), "single", "s", 1), (2002, prose("null"), None, "s", 1), (2003, "short", "short", "s", 1)]
+    got = {r["doc_id"]: r for r in rules.quality_rules(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    assert len(got) == len(rows)
+    assert {i for i, r in got.items() if r["base_failed"]} == {2003}
+
+    def classes(text):
+        n = [sum(map(text.count, x)) for x in (" \t\n\x0b\f\r", rules.CAPITALS, "0123456789", rules.PUNCTUATION, rules.SYMBOLS)]
+        extra = len(text.encode()) - len(text)
+        return np.array([*n, extra, len(text) - sum(n) - extra], float)
+
+    def places(text, common):
+        own = Counter(text.split())
+        return np.array([*(own[w] for w in common), sum(own.values()) - sum(own[w] for w in common)], float)
+
+    def distance(p, q):
+        a, b = p / p.sum(), q / q.sum()
+        return sum((x[x > 0] * np.log2(x[x > 0] / ((a + b) / 2)[x > 0])).sum() / 2 for x in (a, b)) ** 0.5
+
+    for i, text, lang, *_ in rows[:-1]:
+        peers = [r for r in rows if r[2] == lang] if lang and lang != "single" else rows
+        words = Counter(w for r in peers for w in r[1].split())
+        common = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[: rules.N_COMMON]]
+        passed = [r[1] for r in peers if r[0] != 2003]
+        far = distance(places(text, common), sum(places(x, common) for x in passed))
+        char = distance(classes(text), sum(map(classes, passed)))
+        assert (got[i]["word_distance"], got[i]["char_distance"]) == (pytest.approx(far, abs=1e-9), pytest.approx(char, abs=1e-9))
+        assert got[i]["kept"] == (far <= rules.MAX_WORD_DISTANCE and char <= rules.MAX_CHAR_DISTANCE)
+    assert not got[2000]["kept"]
+    assert all(got[r[0]]["kept"] for r in rows[:210])
