@@ -43,6 +43,14 @@ _WIDE_SPACE = "\x85\xa0     　᠎" + "".join(map(chr, range(0x2000, 0
 _LONE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
+def _marked(text: str) -> str | None:
+    """The text with a null character between its `segments`; None if it holds one itself."""
+    lone = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1:].isspace())
+    if lone and not any(c in text for c in _ASCII_SPACE) and (text.isascii() or not any(c in text for c in _WIDE_SPACE)):
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ")
+    return None if "\0" in text else _LONE.sub("\0", text)
+
+
 def segments(text: str) -> list[str]:
     """Parts of a text that the pattern's matches never cross.
 
@@ -50,10 +58,8 @@ def segments(text: str) -> list[str]:
     the text may be cut before it. Where all white space is of that kind (the usual text) two
     replaces and one split do it; other texts are cut at the lone ones by an expression.
     """
-    lone = not ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[-1:].isspace())
-    if lone and not any(c in text for c in _ASCII_SPACE) and (text.isascii() or not any(c in text for c in _WIDE_SPACE)):
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-    return _LONE.split(text)
+    marked = _marked(text)
+    return _LONE.split(text) if marked is None else marked.split("\0")
 
 
 def chunks(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
@@ -290,14 +296,21 @@ class SegmentCoder:
         """Ids of each text; the texts together should be about a chunk."""
         if len(self.index) > self.bound:
             self._forget()
-        at, ends = [], []
-        for text in texts:
-            at.extend(map(self.index.__getitem__, segments(text)))
-            ends.append(len(at))
+        # only the distinct segments of a batch are looked up
+        marked = [_marked(text) for text in texts]
+        if None in marked:
+            parts = [segments(text) for text in texts]
+            found, sizes = pa.array([s for part in parts for s in part], pa.large_string()), [len(part) for part in parts]
+        else:
+            parts = pc.split_pattern(pa.array(marked, pa.large_string()), "\0")
+            found, sizes = parts.flatten(), np.diff(parts.offsets)
+        found, ends = found.dictionary_encode(), np.cumsum(sizes).tolist()
+        number = np.array(list(map(self.index.__getitem__, found.dictionary.to_numpy(zero_copy_only=False))), np.int64)
         if self.index.new:
             self._learn()
-        at = np.array(at, np.int64)
-        self.met[: len(self.index)] += np.bincount(at, minlength=len(self.index))
+        here = np.asarray(found.indices)
+        self.met[number] += np.bincount(here, minlength=len(number))
+        at = number[here]
         count = self.count[at]
         done = np.cumsum(count)
         total = int(done[-1]) if len(done) else 0
@@ -348,7 +361,7 @@ def grouped(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, in
 
 def text_ids(coder: SegmentCoder, texts: list[str]) -> Iterator[list[np.ndarray]]:
     """For each text in order, its ids as a list of arrays (more than one for a very long text)."""
-    for begin, end in grouped(texts):
+    for begin, end in grouped(texts, 2 * CHUNK_CHARS):
         if end - begin == 1 and len(texts[begin]) > CHUNK_CHARS:
             yield list(coder.ids(texts[begin]))
         else:

@@ -5,11 +5,12 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyspark.llm import mixing, quality, rules, toxicity
+from tallyspark.llm import bpe, idfiles, mixing, quality, rules, toxicity
 from tallyspark.llm.common import importable
 from tests.llm.conftest import SCHEMA
 
@@ -253,3 +254,21 @@ def test_every_language_is_held_against_its_own_documents(spark):
         assert got[i]["kept"] == (far <= rules.MAX_WORD_DISTANCE and char <= rules.MAX_CHAR_DISTANCE)
     assert not got[2000]["kept"]
     assert all(got[r[0]]["kept"] for r in rows[:210])
+
+
+# ---- 6
+@pytest.mark.parametrize("null", [False, True])
+def test_a_batch_looks_up_its_distinct_segments_only(monkeypatch, null):
+    looked = []
+
+    class Index(bpe._Index):
+        def __getitem__(self, key):
+            looked.append(key)
+            return super().__getitem__(key)
+
+    monkeypatch.setattr(bpe, "_Index", Index)
+    coder = idfiles.LibraryCoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["the cat, the dog\nthe cat"] * 50 + ["", " ", "a  b", "\n\nthe cat \n", "tab\tthe cat", "\u2009été\xa0the cat", "end ", "don't stop..."] + ["the\0cat \0 the"] * null
+    got = [np.concatenate(ids).tolist() for ids in coder.ids(texts)]
+    assert got == [coder.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counter(looked) == Counter({s for t in texts for s in bpe.segments(t)})
