@@ -9,7 +9,8 @@ which is three point updates of logarithmic cost. `merge_pieces` runs one such m
 for every piece of a batch at once, with numpy; pieces are batched by tree width.
 
 Words repeat, so a task remembers the ids of the segments it has seen, up to a bound
-(`CACHE_SEGMENTS`); the bound changes speed only, never a result.
+(`CACHE_SEGMENTS`); the bound changes speed only, never a result. At its end it keeps those it met
+most, so that an idle worker leaves its memory to the stages after it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ from pyspark.sql import functions as F
 
 #: Segments a worker remembers before it forgets the half it met least (about 150 bytes each).
 CACHE_SEGMENTS = 400_000
+#: Of these, the part that a worker keeps from one task to the next: workers stay while other stages run beside them.
+REST = 8
+#: Bytes of text, and code points of it, that a task of `encode_texts` has in work at once.
+PART_BYTES, PART_CHARS = 4 << 20, 500_000
 #: Code points encoded at once; longer texts are cut at safe places.
 CHUNK_CHARS = 2_000_000
 #: Rank of "no such pair".
@@ -263,10 +268,16 @@ class SegmentCoder:
         self.flat, self.start, self.count, self.met = np.empty(1 << 16, np.uint32), *(np.empty(1 << 14, np.int64) for _ in range(3))
         self.used = 0
 
-    def _forget(self) -> None:
+    def rest(self) -> None:
+        """At the end of a task: keep the `REST`-th part of the bound, and give unused memory back."""
+        if len(self.index) > self.bound // REST:
+            self._forget(self.bound // REST)
+        pa.default_memory_pool().release_unused()
+
+    def _forget(self, keep: int) -> None:
         """Keep the segments that were met most; older meetings count half."""
         size = len(self.index)
-        stay = np.sort(np.argsort(-self.met[:size], kind="stable")[: self.bound // 2])
+        stay = np.sort(np.argsort(-self.met[:size], kind="stable")[:keep])
         segments, self.index = list(self.index), _Index()
         self.index.update(zip((segments[i] for i in stay.tolist()), range(len(stay)), strict=True))
         count, start = self.count[stay], self.start[stay]
@@ -295,7 +306,7 @@ class SegmentCoder:
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; the texts together should be about a chunk."""
         if len(self.index) > self.bound:
-            self._forget()
+            self._forget(self.bound // 2)
         # only the distinct segments of a batch are looked up
         marked = [_marked(text) for text in texts]
         if None in marked:
@@ -359,9 +370,10 @@ def grouped(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, in
         yield begin, len(texts)
 
 
-def text_ids(coder: SegmentCoder, texts: list[str]) -> Iterator[list[np.ndarray]]:
-    """For each text in order, its ids as a list of arrays (more than one for a very long text)."""
-    for begin, end in grouped(texts, 2 * CHUNK_CHARS):
+def text_ids(coder: SegmentCoder, texts: list[str], size: int | None = None) -> Iterator[list[np.ndarray]]:
+    """For each text in order, its ids as a list of arrays (more than one for a very long text); texts of
+    about ``size`` code points together (two chunks) are encoded at once."""
+    for begin, end in grouped(texts, size or 2 * CHUNK_CHARS):
         if end - begin == 1 and len(texts[begin]) > CHUNK_CHARS:
             yield list(coder.ids(texts[begin]))
         else:
@@ -395,29 +407,38 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, key: Column | str = "
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}," + "ids array<int>," * ids + "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
+    names = ["doc_id", *["ids"] * ids, "n_tokens", "ids_sha256", "decoded_sha256"]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, coder = worker_coder(path, pattern)
-        for batch in batches:
-            for begin, end in _byte_ranges(batch.column(1)):
-                part = batch.slice(begin, end - begin)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                arrays, counts, digests, decoded = [], [], [], []
-                for parts in text_ids(coder, texts):
-                    a, d = hashlib.sha256(), hashlib.sha256()
-                    for p in parts:
-                        a.update(p.astype("<u4", copy=False).tobytes())
-                        d.update(ranks.decode(p))
-                    counts.append(sum(map(len, parts)))
-                    digests.append(a.hexdigest())
-                    decoded.append(d.hexdigest())
-                    if ids:
-                        arrays.append(np.concatenate(parts).astype(np.int32))
-                columns = [part.column(0)]
+
+        def encoded(part: pa.RecordBatch) -> pa.RecordBatch:
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            arrays, counts, digests, decoded = [], [], [], []
+            for parts in text_ids(coder, texts, PART_CHARS):
+                a, d = hashlib.sha256(), hashlib.sha256()
+                for p in parts:
+                    a.update(p.astype("<u4", copy=False).tobytes())
+                    d.update(ranks.decode(p))
+                counts.append(sum(map(len, parts)))
+                digests.append(a.hexdigest())
+                decoded.append(d.hexdigest())
                 if ids:
-                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays))))
-                columns += [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in schema.split(",")] if "," not in kind else ["doc_id", *["ids"] * ids, "n_tokens", "ids_sha256", "decoded_sha256"])
+                    arrays.append(np.concatenate(parts).astype(np.int32))
+            columns = [part.column(0)]
+            if ids:
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays))))
+            columns += [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names)
+
+        batch = None
+        for batch in batches:
+            for begin, end in _byte_ranges(batch.column(1), PART_BYTES):
+                yield encoded(batch.slice(begin, end - begin))
+                pa.default_memory_pool().release_unused()
+        del batch
+        coder.rest()
 
     return rows.mapInArrow(run, schema)
 

@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -67,6 +69,32 @@ def test_encode_texts_on_edge_rows(spark, edge, empty):
     assert bpe.encode_texts(empty, RANKS, P.PATTERN).count() == 0
 
 
+def test_idle_bpe_workers_hold_few_segments(spark):
+    text = " ".join(f"w{i}" for i in range(120_000))
+    docs = spark.createDataFrame([(i, text) for i in range(8)], "doc_id long, text string").repartition(4)
+    assert {r["n_tokens"] for r in bpe.encode_texts(docs, RANKS, P.PATTERN).collect()} == {len(library()[1].encode_ordinary(text))}
+
+    def held(batches):
+        for _ in batches:
+            time.sleep(0.2)  # so that every idle worker gets a task
+            yield pa.RecordBatch.from_arrays([pa.array([sum(len(coder.index) for _, coder in bpe._CODERS.values())], pa.int64())], ["n"])
+
+    most = max(r["n"] for r in spark.range(0, 64, 1, 32).mapInArrow(held, "n long").collect())
+    assert 0 < most <= bpe.CACHE_SEGMENTS // 8
+
+
+def test_coder_forgets_at_rest_and_still_encodes():
+    ranks, own = library()
+    coder = bpe.bpe_coder(ranks, P.PATTERN)
+    coder.bound = 400
+    often, text = " ".join(["often"] * 50), " ".join(f"w{i}" for i in range(300))
+    for _ in range(3):
+        for t in (text, often, text, ""):
+            assert [x.tolist() for x in coder.batch([t])] == [own.encode_ordinary(t)]
+        coder.rest()
+        assert len(coder.index) == 50 and " often" in coder.index
+
+
 # ---- 2
 def test_quality_learns_from_votes(spark, edge, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
