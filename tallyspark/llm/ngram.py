@@ -2,9 +2,9 @@
 
 Texts become sets of hashed word shingles (64 bits); equal sets are one *class*. Similar classes are
 brought together exactly by the prefix rule: under one order of all shingles, two sets of similarity
-t share a shingle among the first n - ceil(t n) + 1 of each. The order puts shingles that many
-classes hold last, so a passage that is common to many documents brings nothing together by
-itself. What shares a prefix shingle, directly or through others, is a *cluster*, and a cluster of
+t share a shingle among the first n - ceil(t n) + 1 of each. The order goes by how many sets hold a
+shingle, all of them counted, so a passage or phrase that is common to many documents brings nothing
+together by itself, and a set with enough shingles of its own is compared with no other. What shares a prefix shingle, directly or through others, is a *cluster*, and a cluster of
 more than `BLOCK` classes is cut into hash blocks.
 
 Each block gets a signature tree (`sigtree.link`) whose dual traversal links similar sets. For clusters of
@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +32,8 @@ from tallyspark.llm.components import components
 
 #: Sets of a block, about.
 BLOCK = 256
-#: Shingles that are put last in the order, at most (so their broadcast is bounded), and the
-#: fewest classes that such a shingle is in.
-MOST_COMMON, COMMON_FROM = 1 << 20, 8
+#: Fewest sets of a shingle that is put last in the order, by their number.
+COMMON_FROM = 8
 #: Classes with a prefix shingle up to which they are held against each other by their bitmaps.
 FEW = 8
 #: Hashes that a task gathers before it hands them on.
@@ -67,14 +67,26 @@ def set_table(rows: DataFrame, width: int) -> DataFrame:
 
 
 def _planes(x: np.ndarray) -> bytes:
-    """Bytes of sorted numbers as differences, byte by byte, which shuffles compress well."""
+    """Bytes of sorted numbers as differences, byte by byte, which compress well."""
     d = np.diff(x, prepend=x.dtype.type(0))
-    return np.ascontiguousarray(d.view(np.uint8).reshape(len(d), -1).T).tobytes()
+    return np.ascontiguousarray(d.view(np.uint8).reshape(len(d), d.itemsize).T).tobytes()
 
 
 def _unplanes(b: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(kind).ravel(), dtype=kind)
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, len(b) // width).T).view(kind).ravel(), dtype=kind)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length, the first of them sorted 64-bit numbers, the others small ones of 32 bits."""
+    rest = [np.ascontiguousarray(c.astype(np.uint32).view(np.uint8).reshape(len(c), 4).T).tobytes() for c in columns[1:]]
+    return pa.compress(b"".join([_planes(columns[0]), *rest]), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int, columns: int) -> list[np.ndarray]:
+    b = pa.decompress(data, n * (8 + 4 * (columns - 1)), "zstd", asbytes=True)
+    rest = np.frombuffer(b, np.uint8, offset=8 * n).reshape(columns - 1, 4, n)
+    return [_unplanes(b[: 8 * n], np.uint64), *(np.ascontiguousarray(c.T).view(np.uint32).ravel() for c in rest)]
 
 
 def _buckets(x: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, slice]]:
@@ -87,144 +99,183 @@ def _buckets(x: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, slic
         begin = end
 
 
-def common_shingles(rows: DataFrame, width: int, buckets: int) -> np.ndarray:
-    """Leading 32 bits of the shingles that most classes hold, sorted; at most `MOST_COMMON`.
+def _runs_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal numbers begin, and how long they are."""
+    first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+    return first, np.diff(np.append(first, len(token)))
 
-    Every shingle of every text is counted, copies within a task once. Which shingles are
-    found here decides the work, never the result.
-    """
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+def _found(sorted_values: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which numbers of x are among the sorted ones, and at which places those are."""
+    at = np.searchsorted(sorted_values, x)
+    hit = at < len(sorted_values)
+    hit[hit] = sorted_values[at[hit]] == x[hit]
+    return hit, at[hit]
+
+
+def _rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The other columns of each run of rows with the same first column."""
+    now, held = None, []
+    for batch in batches:
+        for k, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if k != now:
+                if held:
+                    yield now, held
+                now, held = k, []
+            held.append(rest)
+    if held:
+        yield now, held
+
+
+def bits_for(tokens: int) -> int:
+    """Leading bits by which shingles are counted and compared: enough that few of them are taken for
+    another. Those that are cost work only, since equal shingles stay equal."""
+    return next((b for b in (32, 40) if tokens << 5 <= 1 << b), 48)
+
+
+def prefix_tokens(rows: DataFrame, width: int, num: int, den: int, buckets: int, bits: int) -> DataFrame:
+    """Prefix shingles (leading bits) of the texts' sets, for `shared_prefixes`, under the order by the number of
+    sets that hold them: shingles of one set, those of fewer than `COMMON_FROM`, then by the logarithm of
+    the number; equals by hash. Shingles of one set have no one to be shared with and are left out.
+
+    A task deals out its sets in chunks. Each shingle goes, with its set's place in the chunk, to the
+    bucket that counts it. Shingles of several sets come back to the chunk with their rank, so nothing
+    is broadcast, and each set's prefix is known without reading its text again. A shingle
+    of more than `FEW` sets of a chunk goes to its bucket once, with their number, and the chunk keeps the
+    list, so a hot shingle costs one entry per chunk."""
+    room = 64 - bits
+
+    def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[np.ndarray] = []
+        names: list[int] = []
+        sizes: list[int] = []
+        total, chunk = 0, TaskContext.get().partitionId() << 32
 
         def flush() -> Iterator[pa.RecordBatch]:
-            value, n = np.unique(np.concatenate(held), return_counts=True)
-            parts = list(_buckets(value, buckets, 32))
-            n = np.minimum(n, 65535).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in parts], pa.int32()), pa.array([_planes(value[s]) for _, s in parts], pa.binary()), pa.array([n[s].tobytes() for _, s in parts], pa.binary())], ["bucket", "value", "n"])
+            key = np.sort(np.concatenate(held))
+            value, owner = key >> np.uint64(room), key & np.uint64((1 << room) - 1)
+            first, n = _runs_of(value)
+            many = n > FEW
+            hot = np.repeat(many, n)
+            keep = ~hot
+            keep[first] = True
+            weight = np.repeat(np.where(many, n, 1), n)[keep]
+            own, list_, of = _packed(value[hot], owner[hot]), np.array(names, np.int64).tobytes(), np.array(sizes, np.int64).tobytes()
+            value, owner = value[keep], owner[keep]
+            parts = list(_buckets(value, buckets, bits))
+            out = [(k, chunk, s.stop - s.start, _packed(value[s], owner[s], weight[s])) for k, s in parts]
+            # what the chunk keeps travels to it past the buckets
+            out += [(-1 - chunk % buckets, chunk, n, x) for n, x in ((-1, list_), (-2, of), (int(hot.sum()), own))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["bucket", "chunk", "n", "data"])
 
-        total = 0
         for batch in batches:
             for t in _texts(batch, 0):
                 s = sigtree.shingles(t, width)
                 if not len(s) or (name := _set_id(s)) in seen:
                     continue
                 seen.add(name)
-                held.append((s >> np.uint64(32)).astype(np.uint32))
+                held.append((s >> np.uint64(64 - bits) << np.uint64(room)) | np.uint64(len(names)))
+                names.append(name)
+                sizes.append(len(s))
                 total += len(s)
-                if total >= 4 * FLUSH:
+                if total >= 2 * FLUSH or len(names) >> room:
                     yield from flush()
-                    held, total = [], 0
+                    held, names, sizes, total, chunk = [], [], [], 0, chunk + 1
         if held:
             yield from flush()
 
-    def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for values, counts in _by_bucket(batches):
-            value = np.concatenate([_unplanes(v, np.uint32) for v in values])
-            n = np.concatenate([np.frombuffer(c, np.uint16) for c in counts]).astype(np.int64)
-            order = np.argsort(value, kind="stable")
-            value, n = value[order], n[order]
-            first = np.flatnonzero(np.diff(value, prepend=value[0] + np.uint32(1)) != 0)
-            total = np.add.reduceat(n, first)
-            often = total >= COMMON_FROM
-            level = np.log2(total[often]).astype(np.int64)
-            for k in np.unique(level).tolist():
-                some = value[first[often][level == k]]
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([len(some)], pa.int64()), pa.array([some.tobytes()], pa.binary())], ["level", "count", "value"])
-
-    counted = rows.select("text").mapInArrow(count, "bucket int, value binary, n binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    levels = stored(counted.mapInArrow(gather, "level int, count long, value binary"), "common")
-    room, least = MOST_COMMON, None
-    for level, n in sorted(((r["level"], r["n"]) for r in levels.groupBy("level").agg(F.sum("count").alias("n")).collect()), reverse=True):
-        if n > room:
-            break
-        room, least = room - n, level
-    if least is None:
-        return np.empty(0, np.uint32)
-    chosen = levels.where(F.col("level") >= least).select("value").toLocalIterator()  # bounded by MOST_COMMON
-    return np.sort(np.concatenate([np.frombuffer(r["value"], np.uint32) for r in chosen]))
-
-
-def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
-    """The second and third column of each run of rows with the same first column."""
-    now, a, b = None, [], []
-    for batch in batches:
-        for k, x, y in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            if k != now:
-                if a:
-                    yield a, b
-                now, a, b = k, [], []
-            a.append(x)
-            b.append(y)
-    if a:
-        yield a, b
-
-
-def shared_prefixes(rows: DataFrame, width: int, num: int, den: int, common: np.ndarray, buckets: int) -> DataFrame:
-    """Pairs ``a``, ``b`` of set ids that share a prefix shingle, with ``sure`` 0 for pairs of a shingle
-    of at most `FEW` classes (all of them, at most 28 a shingle) and 1 for edges that make one
-    component of the classes of another shingle. A task hands on one class of such a shingle,
-    and its own edges, so a hot shingle costs one entry per task."""
-    sent = rows.sparkSession.sparkContext.broadcast(common)
-    schema = "a long, b long, sure int"
-
-    def runs_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        return first, np.diff(np.append(first, len(token)))
-
-    def stars(first: np.ndarray, count: np.ndarray, name: np.ndarray, many: np.ndarray) -> np.ndarray:
-        lead, mask = np.repeat(name[first], count), np.repeat(many, count)
-        pairs = np.stack([lead, name], 1)[mask]
-        return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
-
-    def prefix(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = sent.value
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, dealt in _rows_of(batches):
+            out = [(chunk, bucket, n, x) for chunk, n, x in dealt]
+            if bucket >= 0:
+                parts = [(chunk, *_unpacked(x, n, 3)) for chunk, n, x in dealt]
+                value = np.concatenate([p[1] for p in parts])
+                order = np.argsort(value, kind="stable")
+                value = value[order]
+                first, _ = _runs_of(value)
+                n = np.add.reduceat(np.concatenate([p[3] for p in parts])[order].astype(np.int64), first)
+                value, n = value[first[n > 1]], n[n > 1]
+                rank = np.where(n < COMMON_FROM, 0, np.log2(n)).astype(np.uint32)
+                out = []
+                for chunk, v, owner, weight in parts:
+                    hit, at = _found(value, v)
+                    if len(at):
+                        # the chunk knows the owners of the shingles that it has listed
+                        out.append((chunk, bucket, len(at), _packed(v[hit], owner[hit], 2 * rank[at] + (weight[hit] > 1))))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["chunk", "bucket", "n", "data"])
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens: list[np.ndarray] = []
         names: list[np.ndarray] = []
-        seen: set[int] = set()
+        total = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             token, name = np.concatenate(tokens), np.concatenate(names)
             order = np.argsort(token, kind="stable")
             token, name = token[order], name[order]
-            first, count = runs_of(token)
+            first, count = _runs_of(token)
             many = count > FEW
-            edges = stars(first, count, name, many)
+            edges = _stars(first, count, name, many)
             keep = np.ones(len(token), bool)
             keep[np.repeat(many, count)] = False
             keep[first] = True
             flag = np.repeat(many, count)[keep].astype(np.uint8)
             token, name = token[keep], name[keep]
-            parts = list(_buckets(token, buckets, 64))
+            parts = list(_buckets(token, buckets, bits))
             k, x, y, z = [k for k, _ in parts], [_planes(token[s]) for _, s in parts], [name[s].tobytes() for _, s in parts], [flag[s].tobytes() for _, s in parts]
             if len(edges):
                 k, x, y, z = [*k, -1 - int(edges[0, 0]) % buckets], [*x, edges[:, 0].tobytes()], [*y, edges[:, 1].tobytes()], [*z, b""]
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), *(pa.array(c, pa.binary()) for c in (x, y, z))], ["bucket", "x", "y", "z"])
 
-        total = 0
-        for batch in batches:
-            for t in _texts(batch, 0):
-                s = sigtree.shingles(t, width)
-                if not len(s) or (name := _set_id(s)) in seen:
-                    continue
-                seen.add(name)
-                p = sigtree.prefix_size(len(s), num, den)
-                if len(often):
-                    high = (s >> np.uint64(32)).astype(np.uint32)
-                    at = np.searchsorted(often, high)
-                    at[at == len(often)] = 0
-                    last = often[at] == high
-                    s = np.concatenate([s[~last], s[last]])
-                tokens.append(s[:p])
-                names.append(np.full(p, name, np.int64))
-                total += p
+        for _, dealt in _rows_of(batches):
+            kept = {min(n, 0): (n, x) for bucket, n, x in dealt if bucket < 0}
+            name, size = np.frombuffer(kept[-1][1], np.int64), np.frombuffer(kept[-2][1], np.int64)
+            parts = [_unpacked(x, n, 3) for bucket, n, x in dealt if bucket >= 0]
+            if not parts:
+                continue
+            value, owner, rank = (np.concatenate(c) for c in zip(*parts, strict=True))
+            listed = (rank & 1) > 0
+            hot, hot_rank = value[listed], rank[listed]
+            order = np.argsort(hot)
+            own, of = _unpacked(kept[0][1], kept[0][0], 2)
+            value, owner = np.concatenate([value[~listed], own]), np.concatenate([owner[~listed], of])
+            rank = np.concatenate([rank[~listed], hot_rank[order][np.searchsorted(hot[order], own)]])
+            need = sigtree.prefix_size(size, num, den) - (size - np.bincount(owner, minlength=len(size)))
+            some = need[owner] > 0
+            value, owner, rank = value[some], owner[some], rank[some]
+            order = np.lexsort((value, rank, owner))
+            value, owner = value[order], owner[order]
+            first, n = _runs_of(owner) if len(owner) else (owner, owner)
+            some = np.arange(len(owner)) - np.repeat(first, n) < need[owner]
+            if some.any():
+                tokens.append(value[some])
+                names.append(name[owner[some]])
+                total += len(tokens[-1])
                 if total >= FLUSH:
                     yield from flush()
                     tokens, names, total = [], [], 0
         if tokens:
             yield from flush()
 
+    dealt = rows.select("text").mapInArrow(spread, "bucket int, chunk long, n long, data binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    ranked = dealt.mapInArrow(count, "chunk long, bucket int, n long, data binary").repartition(buckets, "chunk").sortWithinPartitions("chunk")
+    return ranked.mapInArrow(choose, "bucket int, x binary, y binary, z binary")
+
+
+def _stars(first: np.ndarray, count: np.ndarray, name: np.ndarray, many: np.ndarray) -> np.ndarray:
+    lead, mask = np.repeat(name[first], count), np.repeat(many, count)
+    pairs = np.stack([lead, name], 1)[mask]
+    return np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+
+
+def shared_prefixes(rows: DataFrame, width: int, num: int, den: int, buckets: int, bits: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of set ids that share a prefix shingle, with ``sure`` 0 for pairs of a shingle
+    of at most `FEW` classes (all of them, at most 28 a shingle) and 1 for edges that make one
+    component of the classes of another shingle. A task hands on one class of such a shingle,
+    and its own edges, so a hot shingle costs one entry per task."""
+
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(pairs: np.ndarray, sure: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64()), pa.array(np.full(len(pairs), sure), pa.int32())], ["a", "b", "sure"])
@@ -242,9 +293,9 @@ def shared_prefixes(rows: DataFrame, width: int, num: int, den: int, common: np.
             new = np.concatenate([[True], (token[1:] != token[:-1]) | (name[1:] != name[:-1])])
             flag = np.maximum.reduceat(flag, np.flatnonzero(new))
             token, name = token[new], name[new]
-            first, count = runs_of(token)
+            first, count = _runs_of(token)
             many = (count > FEW) | (np.maximum.reduceat(flag, first) > 0)
-            if len(edges := stars(first, count, name, many)):
+            if len(edges := _stars(first, count, name, many)):
                 yield out(edges, 1)
             few = np.repeat(~many & (count > 1), count)
             token, name = token[few], name[few]
@@ -252,8 +303,8 @@ def shared_prefixes(rows: DataFrame, width: int, num: int, den: int, common: np.
             if pairs and len(found := np.unique(np.concatenate(pairs), axis=0)):
                 yield out(found, 0)
 
-    found = rows.select("text").mapInArrow(prefix, "bucket int, x binary, y binary, z binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return found.mapInArrow(gather, schema).groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    found = prefix_tokens(rows, width, num, den, buckets, bits).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return found.mapInArrow(gather, "a long, b long, sure int").groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bool, list, list, list]]:
@@ -334,8 +385,7 @@ def jaccard_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     maps, sets = sets, sets.drop("map")
     tokens = sets.agg(F.sum("n")).first()[0] or 0
     buckets = 1 << max(4, int(tokens // BUCKET).bit_length())
-    common = common_shingles(rows, width, buckets)
-    shared = stored(shared_prefixes(rows, width, num, den, common, buckets), "shared")
+    shared = stored(shared_prefixes(rows, width, num, den, buckets, bits_for(tokens)), "shared")
     near = possible(shared.where("sure = 0").select("a", "b"), maps.where("n > 0").select("set_id", "n", "map"), num, den)
     clusters = components(shared.where("sure = 1").select("a", "b").unionByName(near))
     roots = clusters.select(F.col("root").alias("node"), "root").distinct()

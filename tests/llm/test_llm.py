@@ -290,6 +290,45 @@ def test_one_hot_cluster_of_many_blocks(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_groups(rows)[0]
 
 
+@pytest.fixture
+def clustered(monkeypatch):
+    """How many sets each call put in clusters, which are compared with each other. No list of common shingles is
+    long enough for every table, so one of a few only must do for the small tables here."""
+    monkeypatch.setattr(ngram, "MOST_COMMON", 64, raising=False)
+    found, write = [], ngram.stored
+
+    def stored(frame, name):
+        out = write(frame, name)
+        if name == "members":
+            found.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram, "stored", stored)
+    return found
+
+
+def test_common_phrases_make_no_cluster(spark, clustered):
+    """op7: texts of common words share phrases by chance; only those with a near copy are compared."""
+    rnd = random.Random(22)
+    own = [f"w{j}" for j in range(3000)]
+    texts = [" ".join(rnd.choices("abc", k=100) + rnd.choices(own, k=80)) for _ in range(300)]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate([*texts, *(t + " end" for t in texts[:10])])]
+    got = ngram.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)).collect()
+    want, groups = brute_groups(rows)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+    assert groups < 310 and clustered == [2 * (310 - groups)]
+
+
+@pytest.mark.parametrize(("bits", "flush", "few"), [(32, 20, 8), (40, 500, 2), (48, 20, 1), (12, 500, 8)])
+def test_chunks_and_hash_bits_change_no_group(spark, monkeypatch, bits, flush, few):
+    """Many chunks and buckets, shingles listed by their chunks, and ones that are taken for others."""
+    for name, value in (("FLUSH", flush), ("FEW", few), ("BUCKET", 100), ("bits_for", lambda tokens: bits)):
+        monkeypatch.setattr(ngram, name, value)
+    rows = family(random.Random(bits), 160)
+    got = ngram.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_groups(rows)[0]
+
+
 def test_tree_links_all_pairs():
     rnd = random.Random(8)
     sets = [sigtree.shingles(t[1].encode()) for t in family(rnd, 150)]
