@@ -307,6 +307,16 @@ def clustered(monkeypatch):
     return found
 
 
+def test_near_stage_with_many_common_passages(spark, clustered):
+    """Stage 3: texts that share passages, and enough words of their own, are in no cluster, however many passages there are."""
+    rnd = random.Random(21)
+    passages = [" ".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=30)) for _ in range(40)]
+    rows = [(i, " ".join([f"o{i}x{j}" for j in range(40)] + rnd.sample(passages, 2)), "en", "a", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(4)
+    assert corpus_pipeline.near(spark, docs, "").count() == 400
+    assert clustered == [0]
+
+
 def test_common_phrases_make_no_cluster(spark, clustered):
     """op7: texts of common words share phrases by chance; only those with a near copy are compared."""
     rnd = random.Random(22)
